@@ -29,12 +29,22 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), whole.cast("double"))
 
 
+def exact_ratio(part: Column, whole: Column) -> Column:
+    """``part / whole`` of counts or amounts to 14 decimals; null when ``whole`` is 0."""
+    return F.try_divide(part.cast("decimal(24,4)"), whole.cast("decimal(24,4)"))
+
+
 def percent(part: Column, whole: Column, scale: int = 2) -> Column:
-    return F.round(ratio(part, whole) * 100, scale)
+    return F.round(exact_ratio(part.cast("decimal(24,4)") * 100, whole), scale).cast("double")
 
 
 def mean(total: Column, count: Column, scale: int = 2) -> Column:
-    return F.round(ratio(total, count), scale)
+    return F.round(exact_ratio(total, count), scale).cast("double")
+
+
+def round_double(value: Column, scale: int = 2) -> Column:
+    """Round a double half up by its first ten decimals, which drops binary noise at ties."""
+    return F.round(value.cast("decimal(38,10)"), scale).cast("double")
 
 
 def strip(text: Column) -> Column:

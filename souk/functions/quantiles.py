@@ -14,37 +14,37 @@ def exact_percentile(values: DataFrame, column: str, p: float) -> float | None:
     ``percentile`` merges a map of all distinct values in one task. Here an
     approximate sketch with a rank error of 1/ACCURACY first brackets the wanted
     ranks; only the few values in between are ordered. ``values`` is read
-    twice, so pass a stored table.
+    several times, so pass a stored table.
     """
     values = values.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
-    margin = 2 / ACCURACY
-    low, high, n = values.agg(
-        F.percentile_approx("v", max(0.0, p - margin), ACCURACY),
-        F.percentile_approx("v", min(1.0, p + margin), ACCURACY),
-        F.count("*"),
-    ).first()
+    n = values.count()
     if n == 0:
         return None
     position = p * (n - 1)
     lower = int(position)
     upper = min(lower + 1, n - 1)
 
+    margin = 2 / ACCURACY + 2 / n
+    low, high = values.agg(
+        F.percentile_approx("v", max(0.0, p - margin), ACCURACY),
+        F.percentile_approx("v", min(1.0, p + margin), ACCURACY),
+    ).first()
+    # All values below `low` are one null row, which sorts first. The other rows are
+    # the distinct values of about 4/ACCURACY of the data.
     counted = (
         values.where(F.col("v") <= high)
         .groupBy(F.when(F.col("v") >= low, F.col("v")).alias("v"))
         .agg(F.count("*").alias("n"))
     )
-    # The slice below `low` is one null row and sorts first. Rows here are the
-    # distinct values of about 4/ACCURACY of the data.
     ranked = counted.withColumn("up_to", F.sum("n").over(Window.orderBy(F.asc_nulls_first("v"))))
-    at = ranked.agg(
+    below, at_lower, at_upper = ranked.agg(
+        F.max(F.when(F.col("v").isNull(), F.col("up_to"))),
         F.min(F.when(F.col("up_to") > lower, F.col("v"))),
         F.min(F.when(F.col("up_to") > upper, F.col("v"))),
     ).first()
-    # Neighbours can fall outside the bracket only when the data changed between passes.
-    if at[0] is None or at[1] is None:
-        raise ValueError("values changed while the percentile was computed")
-    return at[0] + (position - lower) * (at[1] - at[0])
+    if (below or 0) > lower or at_upper is None:
+        raise ArithmeticError("the sketch did not bracket the percentile")
+    return at_lower + (position - lower) * (at_upper - at_lower)
 
 
 def share_at_least(values: DataFrame, column: str, cut: float) -> DataFrame:

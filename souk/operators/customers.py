@@ -15,7 +15,9 @@ from souk.functions.columns import (
     month_text,
     months_between_calendar,
     paid,
+    percent,
     ratio,
+    round_double,
 )
 from souk.functions.quantiles import exact_percentile, share_at_least
 from souk.session import materialize
@@ -124,7 +126,7 @@ def user_segments(users: DataFrame, transactions: DataFrame) -> DataFrame:
     return counts.select("everyone", F.inline(rows)).select(
         "segment",
         "user_count",
-        F.round(ratio(F.col("user_count"), F.col("everyone")) * 100, 1).alias("share_pct"),
+        percent(F.col("user_count"), F.col("everyone"), 1).alias("share_pct"),
         F.coalesce(mean(F.col("spend"), F.col("user_count")), F.lit(0.0)).alias("avg_spend"),
     )
 
@@ -224,14 +226,14 @@ def clv(
         .withColumn("monthly", ratio(F.col("spend"), tenure_months(ref_date)))
         .withColumn("score", F.least(F.lit(1.0), engagement))
         .withColumn("retention", F.lit(BASE_RETENTION) + F.lit(ENGAGEMENT_BONUS) * F.col("score"))
-        .withColumn("clv_estimate", F.round(F.col("monthly") * months * F.col("retention"), 2))
+        .withColumn("clv_estimate", round_double(F.col("monthly") * months * F.col("retention")))
         .select(
             "user_id",
             "clv_estimate",
-            F.round("monthly", 2).alias("avg_monthly_revenue"),
+            round_double(F.col("monthly")).alias("avg_monthly_revenue"),
             F.col("order_count").alias("total_orders"),
             money(F.col("spend")).alias("total_spend"),
-            F.round("score", 3).alias("engagement_score"),
+            round_double(F.col("score"), 3).alias("engagement_score"),
             F.when(F.col("clv_estimate") > high, "High")
             .when(F.col("clv_estimate") > medium, "Medium")
             .otherwise("Low")
@@ -280,7 +282,7 @@ def clv_histogram(estimates: DataFrame, bins: int = 30) -> DataFrame:
             "bin",
             (F.lit(low) + F.col("bin") * width).alias("lower_edge"),
             F.coalesce("users", F.lit(0)).alias("users"),
-            F.round(F.lit(float(total) / max(1, n)), 2).alias("mean_clv"),
+            mean(F.lit(total), F.lit(max(1, n))).alias("mean_clv"),
         )
         .orderBy("bin")
     )
@@ -291,7 +293,7 @@ def clv_concentration(estimates: DataFrame, top_share: float = 0.2) -> DataFrame
     values = materialize(estimates.select("clv_estimate"), "clv")
     cut = exact_percentile(values, "clv_estimate", 1 - top_share)
     return share_at_least(values, "clv_estimate", cut).select(
-        F.round(F.lit(cut).cast("double"), 2).alias("cut_clv"),
+        round_double(F.lit(cut)).alias("cut_clv"),
         F.col("top_rows").alias("top_users"),
         F.col("all_rows").alias("all_users"),
         F.col("top_share").alias("top_value_share"),

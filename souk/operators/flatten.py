@@ -5,7 +5,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from souk.functions.columns import day_text, ratio
+from souk.functions.columns import day_text, mean
 from souk.schemas import PROVINCE_DISTRICTS
 
 
@@ -137,7 +137,7 @@ def export_sessions(cells: DataFrame) -> DataFrame:
         "start_time",
         "end_time",
         duration.alias("duration_seconds"),
-        F.round(ratio(duration, F.lit(60)), 2).alias("duration_minutes"),
+        mean(duration, F.lit(60)).alias("duration_minutes"),
         or_default("city", "").alias("city"),
         or_default("state", "").alias("province"),
         or_default("device_type", "").alias("device_type"),

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from souk.functions.columns import money, mean, paid, percent, ratio
+from souk.functions.columns import mean, money, paid, percent
 
 
 def paid_per_session(transactions: DataFrame) -> DataFrame:
@@ -56,9 +56,9 @@ def device_conversion(sessions: DataFrame, transactions: DataFrame) -> DataFrame
             "device_type",
             "sessions",
             "conversions",
-            F.round(ratio(F.col("joined_seconds"), F.col("joined_rows")) / 60, 1).alias("avg_min"),
+            mean(F.col("joined_seconds"), F.col("joined_rows") * 60, 1).alias("avg_min"),
             percent(F.col("conversions"), F.col("sessions")).alias("conv_pct"),
-            F.round(ratio(F.col("seconds"), F.col("timed_sessions")) / 60, 1).alias("avg_min_per_session"),
+            mean(F.col("seconds"), F.col("timed_sessions") * 60, 1).alias("avg_min_per_session"),
         )
         .orderBy(F.desc("conv_pct"), "device_type")
     )

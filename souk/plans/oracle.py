@@ -32,12 +32,20 @@ def _ratio(part: str, whole: str) -> str:
     return f"CAST({part} AS DOUBLE) / nullif(CAST({whole} AS DOUBLE), 0)"
 
 
-def _mean(total: str, count: str, scale: int = 2) -> str:
-    return _round(_ratio(total, count), scale)
+def _units(value: str) -> str:
+    """A count or amount in ten-thousandths, as a whole number."""
+    return f"CAST(CAST({value} AS DECIMAL(38,4)) * 10000 AS HUGEINT)"
+
+
+def _mean(total: str, count: str, scale: int = 2, factor: int = 1) -> str:
+    """``factor * total / count`` rounded half up in whole numbers, for amounts from 0."""
+    digits = 10**scale
+    parts, whole = f"({_units(total)} * {factor * digits})", f"nullif({_units(count)}, 0)"
+    return f"CAST((2 * {parts} + {whole}) // (2 * {whole}) AS DOUBLE) / {digits}"
 
 
 def _pct(part: str, whole: str, scale: int = 2) -> str:
-    return _round(f"{_ratio(part, whole)} * 100", scale)
+    return _mean(part, whole, scale, 100)
 
 
 def _big(value: str) -> str:
@@ -79,7 +87,7 @@ CTES = {
         SELECT transaction_id, user_id, ts, timestamp, status, payment_method, l_linenumber AS line_number,
                {_id("prod", "l_partkey", 9)} AS product_id, CAST(l_quantity AS BIGINT) AS quantity,
                CAST(l_extendedprice AS DECIMAL(18,2)) AS subtotal,
-               CAST(round(CAST(l_extendedprice / l_quantity AS DECIMAL(38,10)), 2) AS DECIMAL(18,2)) AS unit_price
+               CAST({_mean("l_extendedprice", "l_quantity")} AS DECIMAL(18,2)) AS unit_price
         FROM lineitem JOIN t ON l_orderkey = k""",
     "e0": """
         SELECT event_id, ts, user_id AS uid, event_type, value,
@@ -286,7 +294,7 @@ REPORTS = {
                subtotal::DOUBLE AS item_subtotal_rwf FROM l LEFT JOIN p USING (product_id)""",
     "export_sessions": f"""
         SELECT session_id, user_id, start_time, end_time, duration_seconds,
-               {_round("duration_seconds::DOUBLE / 60")} AS duration_minutes, city, state AS province, device_type, os,
+               {_mean("duration_seconds", "60")} AS duration_minutes, city, state AS province, device_type, os,
                browser, conversion_status, referrer, page_view_count, cart_size AS cart_item_count
         FROM s LEFT JOIN u USING (user_id)""",
     "export_categories": """
@@ -347,7 +355,8 @@ REPORTS = {
         FROM months""",
     "monthly_growth": f"""
         SELECT month, total_revenue, previous_revenue,
-               {_pct("(total_revenue - previous_revenue)", "previous_revenue")} AS mom_growth_pct
+               sign(total_revenue - previous_revenue)
+                   * {_pct("abs(total_revenue - previous_revenue)", "previous_revenue")} AS mom_growth_pct
         FROM (SELECT month, {_money("total")} AS total_revenue,
                      lag({_money("total")}) OVER (ORDER BY month) AS previous_revenue FROM months)""",
     "daily_product_sales": f"""
@@ -383,7 +392,7 @@ REPORTS = {
                           WHEN n = 1 THEN 'One-Time' ELSE 'Inactive' END AS segment, spend
               FROM u LEFT JOIN os USING (user_id))
         SELECT segment, count(a.segment) AS user_count,
-               {_round(_ratio("count(a.segment)", "(SELECT count(*) FROM u)") + " * 100", 1)} AS share_pct,
+               {_pct("count(a.segment)", "(SELECT count(*) FROM u)", 1)} AS share_pct,
                coalesce({_mean("coalesce(sum(spend), 0)", "count(a.segment)")}, 0.0) AS avg_spend
         FROM labels LEFT JOIN a USING (segment) GROUP BY 1""",
     "cohort_spend": f"""
@@ -403,7 +412,7 @@ REPORTS = {
     "clv_top5": "SELECT * FROM clv ORDER BY clv_estimate DESC, user_id LIMIT 5",
     "clv_histogram": f"""
         WITH r AS (SELECT min(clv_estimate) AS lo, (max(clv_estimate) - min(clv_estimate)) / 30 AS w,
-                          {_round("sum(CAST(clv_estimate AS DECIMAL(18,2)))::DOUBLE / count(*)")} AS mean_clv FROM clv_nodur),
+                          {_mean("sum(CAST(clv_estimate AS DECIMAL(18,2)))", "count(*)")} AS mean_clv FROM clv_nodur),
         h AS (SELECT least(floor((clv_estimate - lo) / w), 29)::BIGINT AS bin, count(*) AS users
               FROM clv_nodur, r GROUP BY 1)
         SELECT range AS bin, lo + range * w AS lower_edge, coalesce(users, 0) AS users, mean_clv
@@ -424,15 +433,15 @@ REPORTS = {
     "device_conversion_sql": f"""
         SELECT device_type, count(DISTINCT s.session_id) AS total_sessions, count(DISTINCT transaction_id) AS conversions,
                {_pct("count(DISTINCT transaction_id)", "count(DISTINCT s.session_id)")} AS conversion_rate_pct,
-               {_round(_ratio("sum(duration_seconds)", "count(*)") + " / 60", 1)} AS avg_session_min
+               {_mean("sum(duration_seconds)", "count(*) * 60", 1)} AS avg_session_min
         FROM s LEFT JOIN t ON s.session_id = t.session_id GROUP BY 1""",
     "device_conversion": f"""
         SELECT device_type, count(DISTINCT s.session_id) AS sessions, count(DISTINCT transaction_id) AS conversions,
-               {_round(_ratio("sum(duration_seconds)", "count(*)") + " / 60", 1)} AS avg_min,
+               {_mean("sum(duration_seconds)", "count(*) * 60", 1)} AS avg_min,
                {_pct("count(DISTINCT transaction_id)", "count(DISTINCT s.session_id)")} AS conv_pct,
                any_value(per_session) AS avg_min_per_session
         FROM s LEFT JOIN t ON s.session_id = t.session_id
-        JOIN (SELECT device_type, {_round(_ratio("sum(duration_seconds)", "count(*)") + " / 60", 1)} AS per_session
+        JOIN (SELECT device_type, {_mean("sum(duration_seconds)", "count(*) * 60", 1)} AS per_session
               FROM s GROUP BY 1) USING (device_type) GROUP BY 1""",
     "device_totals": f"""
         SELECT device_type, count(*) AS sessions, count(orders) AS converted_sessions,
@@ -453,7 +462,8 @@ REPORTS = {
             UNION ALL SELECT 4, 'Converted', count(*) FILTER (conversion_status = 'converted') FROM s
             UNION ALL SELECT 5, 'Completed Order', count(*) FROM paid_t)
         SELECT i::BIGINT AS stage_no, stage, n, {_pct("n", "first_value(n) OVER (ORDER BY i)")} AS pct_of_first,
-               {_pct("(lag(n) OVER (ORDER BY i) - n)", "lag(n) OVER (ORDER BY i)")} AS drop_pct FROM f""",
+               sign(lag(n) OVER (ORDER BY i) - n)
+                   * {_pct("abs(lag(n) OVER (ORDER BY i) - n)", "lag(n) OVER (ORDER BY i)")} AS drop_pct FROM f""",
     # products
     "product_funnel": f"""
         WITH a AS (SELECT product_id, count(*) AS views FROM v GROUP BY 1),

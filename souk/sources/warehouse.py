@@ -10,7 +10,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souk.functions.columns import iso_text
+from souk.functions.columns import exact_ratio, iso_text
 from souk.functions.sessionize import session_slices, tag_events
 from souk.schemas import BROWSERS, DEVICE_TYPES, PAYMENT_METHODS, REFERRERS
 
@@ -142,7 +142,7 @@ class Warehouse:
             F.col("l_linenumber").cast("bigint").alias("line_number"),
             key("prod_", F.col("l_partkey"), 9).alias("product_id"),
             F.col("l_quantity").cast("bigint").alias("quantity"),
-            F.round(F.try_divide(price, F.col("l_quantity")), 2).cast(LINE_MONEY).alias("unit_price"),
+            F.round(exact_ratio(price, F.col("l_quantity")), 2).cast(LINE_MONEY).alias("unit_price"),
             price.cast(LINE_MONEY).alias("subtotal"),
             F.col("l_discount").cast("decimal(4,2)").alias("discount_rate"),
         )

@@ -103,12 +103,16 @@ def version(base: str, batch_id: int) -> str:
 
 
 def file_stream(spark: SparkSession, path: str, *columns: Column | str, per_batch: int | None = None) -> DataFrame:
-    """A stream over Parquet files, with the schema of the files there now."""
+    """A stream over a Parquet file or folder, with the schema of the files there now.
+
+    The path is given as a pattern that matches only itself: a stream accepts a single
+    file only through a pattern.
+    """
     schema: StructType = spark.read.parquet(path).schema
     reader = spark.readStream.schema(schema)
     if per_batch:
         reader = reader.option("maxFilesPerTrigger", per_batch)
-    stream = reader.parquet(path)
+    stream = reader.parquet(f"{path[:-1]}[{path[-1]}]")
     return stream.select(*columns) if columns else stream
 
 
