@@ -21,6 +21,8 @@ All three are exact: the result equals counting every pair of every basket.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from souk.session import materialize
+
 GIANTS = 4
 COMMON_ITEMS = 32
 
@@ -45,8 +47,8 @@ def _within(array: str) -> Column:
     return F.slice(array, F.col("pos") + 2, F.size(array))
 
 
-def _support_bound(baskets: DataFrame, support: DataFrame, n: int) -> DataFrame:
-    """One row: a lower bound on the count of the n-th best pair, at least 1."""
+def _support_bound(baskets: DataFrame, support: DataFrame, n: int) -> int:
+    """A lower bound on the count of the n-th best pair, at least 1."""
     common = support.orderBy(F.desc("support"), "item").limit(COMMON_ITEMS).select("item")
     counts = (
         baskets.join(F.broadcast(common), "item")
@@ -59,15 +61,23 @@ def _support_bound(baskets: DataFrame, support: DataFrame, n: int) -> DataFrame:
         .orderBy(F.desc("n"))
         .limit(n)
     )
-    return counts.agg(F.when(F.count("*") == n, F.min("n")).otherwise(1).alias("bound"))
+    return counts.agg(F.when(F.count("*") == n, F.min("n")).otherwise(1)).first()[0]
 
 
-def _block_pairs(light: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
-    """All pairs of each basket as ``x, y`` structs, generated block against block."""
-    large = sizes.where(F.col("size") > block).select("basket", F.ceil(F.col("size") / block).alias("blocks"))
+def _small_basket_pairs(light: DataFrame) -> DataFrame:
+    """All pairs of baskets that fit a block, as ``x, y`` structs."""
+    return (
+        light.groupBy("basket")
+        .agg(F.array_sort(F.collect_list(F.struct("item", "bits"))).alias("entries"))
+        .select("entries", F.posexplode("entries").alias("pos", "x"))
+        .select("x", F.explode(_within("entries")).alias("y"))
+    )
+
+
+def _block_pairs(light: DataFrame, large: DataFrame) -> DataFrame:
+    """The same for larger baskets, block against block; ``large`` has the number of blocks."""
     cells = (
-        light.join(large, "basket", "left")
-        .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        light.join(large, "basket")
         .withColumn("block", F.pmod(F.xxhash64("item"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
         .select(
@@ -93,6 +103,14 @@ def _block_pairs(light: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
     )
 
 
+def _light_pairs(light: DataFrame, sizes: DataFrame, block: int, largest: int) -> DataFrame:
+    """Pairs of the ordinary baskets; ``largest`` is the size of the largest."""
+    if largest <= block:
+        return _small_basket_pairs(light)
+    large = sizes.where(F.col("size") > block).select("basket", F.ceil(F.col("size") / block).alias("blocks"))
+    return _small_basket_pairs(light.join(large, "basket", "left_anti")).unionByName(_block_pairs(light, large))
+
+
 def _pair_rows(x: Column, y: Column, n: int) -> list[Column]:
     """Pair in id order, count from ordinary baskets, count from the giants."""
     first = x.item < y.item
@@ -104,50 +122,57 @@ def _pair_rows(x: Column, y: Column, n: int) -> list[Column]:
     ]
 
 
-def _giants(sizes: DataFrame, giant_size: int) -> DataFrame:
-    """The few largest baskets above ``giant_size``, each with a bit of its own."""
-    largest = sizes.where(F.col("size") > giant_size).orderBy(F.desc("size"), "basket").limit(GIANTS)
-    rank = F.row_number().over(Window.orderBy(F.desc("size"), "basket"))  # at most GIANTS rows
-    return largest.select("basket", F.element_at(F.array(*[F.lit(1 << i) for i in range(GIANTS)]), rank).alias("bit"))
-
-
 def _members(items: DataFrame) -> DataFrame:
     """One row per item and giant basket that holds it."""
     bits = F.filter(F.array(*[F.lit(1 << i) for i in range(GIANTS)]), lambda bit: bit.bitwiseAND(F.col("bits")) != 0)
-    return items.where("bits > 0").select(F.struct("item", "bits").alias("entry"), F.explode(bits).alias("bit"))
+    return items.select(F.struct("item", "bits").alias("entry"), F.explode(bits).alias("bit"))
 
 
-def _pair_counts(baskets: DataFrame, keep: int, per_item: bool, giant_size: int, block: int) -> DataFrame:
-    """``a, b, baskets`` for every pair that can be among the ``keep`` best.
-
-    ``per_item`` asks for the best partners of each item instead of the best pairs overall.
-    """
-    sizes = baskets.groupBy("basket").agg(F.count("*").alias("size"))
-    giants = _giants(sizes, giant_size)
-    flagged = baskets.join(F.broadcast(giants), "basket", "left").na.fill(0, ["bit"])
-    items = flagged.groupBy("item").agg(F.count("*").alias("support"), F.sum("bit").alias("bits"))
-    if not per_item:
-        bound = _support_bound(baskets, items, keep)
-        items = items.where(F.col("support") >= bound.scalar())
-
-    light = flagged.where("bit = 0").join(items, "item").select("basket", "item", "bits")
-    pairs = _block_pairs(light, sizes, block).select(*_pair_rows(F.col("x"), F.col("y"), 1))
-
+def _giant_candidates(items: DataFrame, keep: int, per_item: bool) -> DataFrame:
+    """Pairs that may rank among the best although only giant baskets hold them."""
+    inside = items.where("bits > 0")
     # First items by id of each set of bits: at most 2^GIANTS * (keep + 1) rows.
     by_id = F.row_number().over(Window.partitionBy("bits").orderBy("item"))
-    first = _members(items.where("bits > 0").withColumn("position", by_id).where(F.col("position") <= keep + 1))
-    holders = _members(items) if per_item else first
-    candidates = (
+    first = _members(inside.withColumn("position", by_id).where(F.col("position") <= keep + 1))
+    holders = _members(inside) if per_item else first
+    return (
         holders.select("bit", F.col("entry").alias("x"))
         .join(F.broadcast(first.select("bit", F.col("entry").alias("y"))), "bit")
         .where("x.item <> y.item")
         .select(*_pair_rows(F.col("x"), F.col("y"), 0))
     )
-    return (
-        pairs.unionByName(candidates)
-        .groupBy("a", "b")
-        .agg((F.sum("n") + F.max("shared")).alias("baskets"))
-    )
+
+
+def _pair_counts(baskets: DataFrame, keep: int, per_item: bool, giant_size: int, block: int) -> DataFrame:
+    """``a, b, baskets`` for every pair that can be among the ``keep`` best.
+
+    ``per_item`` asks for the best partners of each item instead of the best pairs overall.
+    The few largest basket sizes and the bound are fetched first, so the usual plan has no
+    branch for giants or blocks.
+    """
+    baskets = materialize(baskets, "baskets")
+    sizes = baskets.groupBy("basket").agg(F.count("*").alias("size"))
+    largest = sizes.orderBy(F.desc("size"), "basket").limit(GIANTS + 1).collect()
+    giants = [row.basket for row in largest[:GIANTS] if row.size > giant_size]
+    rest = largest[len(giants)].size if len(giants) < len(largest) else 0
+
+    bit = F.lit(0)
+    for i, giant in enumerate(giants):
+        bit = F.when(F.col("basket") == giant, 1 << i).otherwise(bit)
+    flagged = baskets.withColumn("bit", bit)
+    items = flagged.groupBy("item").agg(F.count("*").alias("support"), F.sum("bit").alias("bits"))
+    bound = 1 if per_item else _support_bound(baskets, items, keep)
+    items = items.where(F.col("support") >= bound)
+
+    light = flagged.where("bit = 0").select("basket", "item")
+    if giants or bound > 1:
+        light = light.join(items.select("item", "bits"), "item")
+    else:
+        light = light.withColumn("bits", F.lit(0).cast("bigint"))
+    pairs = _light_pairs(light, sizes, block, rest).select(*_pair_rows(F.col("x"), F.col("y"), 1))
+    if giants:
+        pairs = pairs.unionByName(_giant_candidates(items, keep, per_item))
+    return pairs.groupBy("a", "b").agg((F.sum("n") + F.max("shared")).alias("baskets"))
 
 
 def top_pairs(baskets: DataFrame, n: int = 10, giant_size: int = 2_000, block: int = 500) -> DataFrame:

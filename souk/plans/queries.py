@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from souk.functions.columns import iso_text, paid
 from souk.operators import baskets, customers, flatten, keyed, products, quality, revenue, sessions
-from souk.schemas import PAYMENT_METHODS
-from souk.sources.warehouse import Warehouse, key, pick
+from souk.sources.warehouse import Warehouse, key, payment_method
 from souk.streaming import jobs
 
 Report = Callable[[Warehouse], DataFrame]
@@ -495,7 +494,7 @@ def stream_payment_windows(shop):
         shop.spark,
         shop.path("orders"),
         F.col("o_orderdate").cast("timestamp").alias("ts"),
-        pick(PAYMENT_METHODS, F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("payment_method"),
+        payment_method().alias("payment_method"),
         F.col("o_totalprice").cast("decimal(18,2)").alias("total"),
     )
     tumbling = jobs.run_append(jobs.payment_windows(payments, "1 day"), "payments")

@@ -5,6 +5,7 @@ become users, and the event log is cut into sessions. Every table is derived by
 Spark from the whole input tables; a table that a report does not use is not built.
 """
 
+from decimal import Decimal
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +29,11 @@ def pick(values: tuple[str, ...], position: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), (position + 1).cast("int"))
 
 
+def payment_method() -> Column:
+    """The method behind the leading digit of an order priority."""
+    return pick(PAYMENT_METHODS, F.substring("o_orderpriority", 1, 1).cast("int") - 1)
+
+
 class Warehouse:
     """Same attributes as :class:`souk.sources.shop.Shop`, each built on first use."""
 
@@ -112,9 +118,14 @@ class Warehouse:
         )
 
     # --- transactions -------------------------------------------------------
+    # Joins and sums run on the raw narrow columns; ids and labels are built after them.
 
     @cached_property
     def _orders(self) -> DataFrame:
+        return self.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+
+    @staticmethod
+    def _order_columns() -> list[Column]:
         k = F.col("o_orderkey")
         status = (
             F.when(k % 7 == 0, "refunded")
@@ -123,72 +134,60 @@ class Warehouse:
             .when(F.col("o_orderstatus") == "P", "processing")
         )
         ts = F.col("o_orderdate").cast("timestamp")
-        return self.table("orders").select(
-            "o_orderkey",
+        return [
             key("txn_", k, 12).alias("transaction_id"),
-            key("sess_", F.expr("o_orderkey div 2"), 10).alias("session_id"),
             key("user_", F.col("o_custkey"), 9).alias("user_id"),
             iso_text(ts).alias("timestamp"),
             ts.alias("ts"),
-            pick(PAYMENT_METHODS, F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("payment_method"),
+            payment_method().alias("payment_method"),
             status.alias("status"),
-        )
-
-    @cached_property
-    def _lineitems(self) -> DataFrame:
-        price = F.col("l_extendedprice")
-        return self.table("lineitem").select(
-            "l_orderkey",
-            F.col("l_linenumber").cast("bigint").alias("line_number"),
-            key("prod_", F.col("l_partkey"), 9).alias("product_id"),
-            F.col("l_quantity").cast("bigint").alias("quantity"),
-            F.round(exact_ratio(price, F.col("l_quantity")), 2).cast(LINE_MONEY).alias("unit_price"),
-            price.cast(LINE_MONEY).alias("subtotal"),
-            F.col("l_discount").cast("decimal(4,2)").alias("discount_rate"),
-        )
+        ]
 
     @cached_property
     def transactions(self) -> DataFrame:
+        # Whole cents and whole percents: exact, and summed as plain longs.
+        cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
+        percents = F.rint(F.col("l_discount") * 100).cast("bigint")
         sums = (
-            self._lineitems.withColumn("discount", F.col("subtotal") * F.col("discount_rate"))
+            self.table("lineitem")
+            .select("l_orderkey", cents.alias("cents"), (cents * percents).alias("discount_units"))
             .groupBy("l_orderkey")
             .agg(
-                F.sum("subtotal").alias("line_subtotal"),
-                F.sum("discount").alias("line_discount"),
+                F.sum("cents").alias("cents"),
+                F.sum("discount_units").alias("discount_units"),
                 F.count("*").alias("lines"),
             )
         )
-        subtotal = F.coalesce("line_subtotal", F.lit(0)).cast("decimal(20,4)")
-        discount = F.coalesce("line_discount", F.lit(0)).cast("decimal(20,4)")
+
+        def amount(units: Column, unit: str) -> Column:
+            return (F.coalesce(units, F.lit(0)).cast("decimal(18,0)") * F.lit(Decimal(unit))).cast("decimal(20,4)")
+
+        subtotal = amount(F.col("cents"), "0.01")
+        discount = amount(F.col("discount_units"), "0.0001")
         return self._orders.join(sums, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
             "o_orderkey",
-            "transaction_id",
-            "session_id",
-            "user_id",
-            "timestamp",
-            "ts",
+            key("sess_", F.expr("o_orderkey div 2"), 10).alias("session_id"),
+            *self._order_columns(),
             subtotal.alias("subtotal"),
             discount.alias("discount"),
             (subtotal - discount).cast("decimal(20,4)").alias("total"),
-            "payment_method",
-            "status",
             F.coalesce("lines", F.lit(0)).cast("bigint").alias("item_count"),
         )
 
     @cached_property
     def lines(self) -> DataFrame:
-        return self._lineitems.join(self._orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-            "transaction_id",
-            "user_id",
-            "timestamp",
-            "ts",
-            "payment_method",
-            "status",
-            "line_number",
-            "product_id",
-            "quantity",
-            "unit_price",
-            "subtotal",
+        price = F.col("l_extendedprice")
+        return (
+            self.table("lineitem")
+            .join(self._orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .select(
+                *self._order_columns(),
+                F.col("l_linenumber").cast("bigint").alias("line_number"),
+                key("prod_", F.col("l_partkey"), 9).alias("product_id"),
+                F.col("l_quantity").cast("bigint").alias("quantity"),
+                F.round(exact_ratio(price, F.col("l_quantity")), 2).cast(LINE_MONEY).alias("unit_price"),
+                price.cast(LINE_MONEY).alias("subtotal"),
+            )
         )
 
     @cached_property
@@ -212,16 +211,15 @@ class Warehouse:
 
     @cached_property
     def events(self) -> DataFrame:
-        kind = F.col("event_type")
-        product = key("prod_", F.get_json_object("props", "$.k"), 9)
+        """The event log with numeric users; the product is set for the kinds that have one."""
+        with_product = F.col("event_type").isin("view", "click", "purchase")
         return self.table("events").select(
             "event_id",
             F.col("ts").cast("timestamp").alias("ts"),
-            F.col("user_id").alias("user_number"),
-            key("user_", F.col("user_id"), 9).alias("user_id"),
+            "user_id",
             "event_type",
-            F.floor("value").alias("view_duration"),
-            F.when(kind.isin("view", "click", "purchase"), product).alias("product_id"),
+            "value",
+            F.when(with_product, F.get_json_object("props", "$.k")).alias("product"),
         )
 
     @cached_property
@@ -234,44 +232,42 @@ class Warehouse:
             .when(kind == "signup", "home")
             .when(kind == "error", "search")
         )
-        return self.events.select("user_id", "ts", page.alias("page_type"), "product_id", "view_duration")
+        return self.events.select(
+            key("user_", F.col("user_id"), 9).alias("user_id"),
+            "ts",
+            page.alias("page_type"),
+            key("prod_", F.col("product"), 9).alias("product_id"),
+            F.floor("value").alias("view_duration"),
+        )
 
     @cached_property
     def _visits(self) -> DataFrame:
         """One row per session of the event log, with its raw measures."""
-        has_product = F.col("product_id").isNotNull()
 
-        def count(kind: str, *more: Column) -> Column:
-            condition = F.col("event_type") == kind
-            for extra in more:
-                condition = condition & extra
-            return F.count(F.when(condition, 1))
+        def count(condition: str) -> Column:
+            return F.count(F.when(F.expr(condition), 1))
 
+        measures = {
+            "purchases": count("event_type = 'purchase'"),
+            "clicks": count("event_type = 'click'"),
+            "product_views": count("event_type = 'view' AND product IS NOT NULL"),
+            "cart_events": count("event_type IN ('click', 'purchase') AND product IS NOT NULL"),
+        }
         slices = session_slices(
-            self.events,
-            SESSION_GAP_SECONDS,
-            F.max("user_number").alias("user_number"),
-            count("purchase").alias("purchases"),
-            count("click").alias("clicks"),
-            count("view", has_product).alias("product_views"),
-            F.count(F.when(F.col("event_type").isin("click", "purchase") & has_product, 1)).alias("cart_events"),
+            self.events, SESSION_GAP_SECONDS, *[measure.alias(name) for name, measure in measures.items()]
         )
         visits = slices.groupBy("user_id", "first_event_id").agg(
             F.min("first.ts").alias("started_at"),
             F.max("last_ts").alias("ended_at"),
-            F.max("user_number").alias("user_number"),
             F.sum("event_count").alias("page_view_count"),
-            F.sum("purchases").alias("purchases"),
-            F.sum("clicks").alias("clicks"),
-            F.sum("product_views").alias("product_views"),
-            F.sum("cart_events").alias("cart_events"),
+            *[F.sum(name).alias(name) for name in measures],
         )
         first = F.col("first_event_id")
-        user = F.col("user_number")
+        user = F.col("user_id")
         return visits.select(
             "first_event_id",
             key("sess_", first, 10).alias("session_id"),
-            "user_id",
+            key("user_", user, 9).alias("user_id"),
             "started_at",
             "ended_at",
             F.expr("(unix_micros(ended_at) - unix_micros(started_at)) div 1000000").alias("duration_seconds"),
@@ -296,19 +292,26 @@ class Warehouse:
 
     @cached_property
     def _product_events(self) -> DataFrame:
-        wanted = F.col("event_type").isin("view", "click", "purchase") & F.col("product_id").isNotNull()
-        return tag_events(self.events, SESSION_GAP_SECONDS).where(wanted)
+        return tag_events(self.events, SESSION_GAP_SECONDS).where("product IS NOT NULL")
+
+    @staticmethod
+    def _session_product() -> list[Column]:
+        return [
+            key("sess_", F.col("first_event_id"), 10).alias("session_id"),
+            key("prod_", F.col("product"), 9).alias("product_id"),
+        ]
 
     @cached_property
     def viewed(self) -> DataFrame:
-        views = self._product_events.where(F.col("event_type") == "view")
-        return views.select(key("sess_", F.col("first_event_id"), 10).alias("session_id"), "product_id")
+        return self._product_events.where("event_type = 'view'").select(*self._session_product())
 
     @cached_property
     def cart_quantities(self) -> DataFrame:
-        picks = self._product_events.where(F.col("event_type") != "view")
-        return picks.groupBy(key("sess_", F.col("first_event_id"), 10).alias("session_id"), "product_id").agg(
-            F.count("*").alias("quantity")
+        return (
+            self._product_events.where("event_type IN ('click', 'purchase')")
+            .groupBy("first_event_id", "product")
+            .agg(F.count("*").alias("quantity"))
+            .select(*self._session_product(), "quantity")
         )
 
     @cached_property
