@@ -424,12 +424,12 @@ def session_funnel(shop):
 
 @report
 def product_funnel(shop):
-    return products.product_funnel(shop.page_views, shop.cart_quantities, shop.lines)
+    return products.product_funnel(shop.pages("product_detail"), shop.cart_quantities, shop.lines)
 
 
 @report
 def product_views(shop):
-    return products.product_views(shop.page_views)
+    return products.product_views(shop.pages("product_detail"))
 
 
 @report
@@ -444,7 +444,7 @@ def product_purchases(shop):
 
 @report
 def product_performance(shop):
-    return products.product_performance(shop.page_views, shop.cart, shop.lines)
+    return products.product_performance(shop.pages("product_detail"), shop.cart, shop.lines)
 
 
 @report

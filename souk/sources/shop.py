@@ -32,7 +32,7 @@ cart            cart_quantities + user_id, started_at, ended_at, conversion_stat
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions.columns import MONEY, parse_iso
@@ -54,6 +54,11 @@ class Shop:
     cart: DataFrame
 
 
+def event_time(documents: DataFrame) -> Column:
+    """The cleaned time if there is one, else what the text says."""
+    return F.col("ts") if "ts" in documents.columns else parse_iso(F.col("timestamp")).alias("ts")
+
+
 def flat_users(users: DataFrame) -> DataFrame:
     return users.select(
         "user_id",
@@ -85,7 +90,7 @@ def flat_transactions(transactions: DataFrame) -> DataFrame:
         "session_id",
         "user_id",
         "timestamp",
-        parse_iso(F.col("timestamp")).alias("ts"),
+        event_time(transactions),
         F.col("subtotal").cast(MONEY),
         F.col("discount").cast(MONEY),
         F.col("total").cast(MONEY),
@@ -101,7 +106,7 @@ def flat_lines(transactions: DataFrame) -> DataFrame:
         "transaction_id",
         "user_id",
         "timestamp",
-        parse_iso(F.col("timestamp")).alias("ts"),
+        event_time(transactions),
         "payment_method",
         "status",
         F.explode("items").alias("i"),

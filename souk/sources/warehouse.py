@@ -18,6 +18,14 @@ from souk.schemas import BROWSERS, DEVICE_TYPES, PAYMENT_METHODS, REFERRERS
 SESSION_GAP_SECONDS = 6 * 3600
 OPERATING_SYSTEMS = ("iOS", "Android", "Windows", "Linux")
 LINE_MONEY = "decimal(12,2)"
+# The event that stands for a page type.
+EVENT_OF_PAGE = {
+    "product_detail": "view",
+    "category_listing": "click",
+    "checkout": "purchase",
+    "home": "signup",
+    "search": "error",
+}
 
 
 def key(prefix: str, number: Column, width: int) -> Column:
@@ -35,7 +43,10 @@ def payment_method() -> Column:
 
 
 class Warehouse:
-    """Same attributes as :class:`souk.sources.shop.Shop`, each built on first use."""
+    """Attributes as in :class:`souk.sources.shop.Shop`, each built on first use.
+
+    Page views are given per page type by :meth:`pages`.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         if spark.conf.get("spark.sql.session.timeZone") != "UTC":
@@ -222,20 +233,12 @@ class Warehouse:
             F.when(with_product, F.get_json_object("props", "$.k")).alias("product"),
         )
 
-    @cached_property
-    def page_views(self) -> DataFrame:
-        kind = F.col("event_type")
-        page = (
-            F.when(kind == "view", "product_detail")
-            .when(kind == "click", "category_listing")
-            .when(kind == "purchase", "checkout")
-            .when(kind == "signup", "home")
-            .when(kind == "error", "search")
-        )
-        return self.events.select(
+    def pages(self, page_type: str) -> DataFrame:
+        """The page views of one type; the type becomes a filter of the scan."""
+        return self.events.where(F.col("event_type") == EVENT_OF_PAGE[page_type]).select(
             key("user_", F.col("user_id"), 9).alias("user_id"),
             "ts",
-            page.alias("page_type"),
+            F.lit(page_type).alias("page_type"),
             key("prod_", F.col("product"), 9).alias("product_id"),
             F.floor("value").alias("view_duration"),
         )
