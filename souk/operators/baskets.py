@@ -64,10 +64,16 @@ def _support_bound(baskets: DataFrame, support: DataFrame, n: int) -> int:
     return counts.agg(F.when(F.count("*") == n, F.min("n")).otherwise(1)).first()[0]
 
 
+def _width(df: DataFrame) -> int:
+    """The session's shuffle width, kept as it is: few bytes of baskets become many pairs."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _small_basket_pairs(light: DataFrame) -> DataFrame:
     """All pairs of baskets that fit a block, as ``x, y`` structs."""
     return (
-        light.groupBy("basket")
+        light.repartition(_width(light), "basket")
+        .groupBy("basket")
         .agg(F.array_sort(F.collect_list(F.struct("item", "bits"))).alias("entries"))
         .select("entries", F.posexplode("entries").alias("pos", "x"))
         .select("x", F.explode(_within("entries")).alias("y"))
@@ -88,7 +94,7 @@ def _block_pairs(light: DataFrame, large: DataFrame) -> DataFrame:
             F.struct("item", "bits").alias("entry"),
         )
         # By all three, so that the blocks of one basket spread over tasks.
-        .repartition("basket", "lo", "hi")
+        .repartition(_width(light), "basket", "lo", "hi")
         .groupBy("basket", "lo", "hi")
         .agg(
             F.array_sort(F.collect_list(F.when(F.col("block") == F.col("lo"), F.col("entry")))).alias("left"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from souk.functions.columns import iso_text, paid
 from souk.operators import baskets, customers, flatten, keyed, products, quality, revenue, sessions
-from souk.sources.warehouse import Warehouse, key, payment_method
+from souk.sources.warehouse import PAYMENT_METHOD, Warehouse, key
 from souk.streaming import jobs
 
 Report = Callable[[Warehouse], DataFrame]
@@ -470,8 +470,8 @@ def event_stream(shop, *more):
         shop.spark,
         shop.path("events"),
         "event_id",
-        F.col("ts").cast("timestamp").alias("ts"),
-        key("user_", F.col("user_id"), 9).alias("user_id"),
+        "timestamp(ts) AS ts",
+        f"{key('user', 'user_id', 9)} AS user_id",
         "event_type",
         *more,
     )
@@ -481,8 +481,8 @@ def event_stream(shop, *more):
 def stream_product_views(shop):
     views = event_stream(
         shop,
-        F.floor("value").alias("view_duration"),
-        key("prod_", F.get_json_object("props", "$.k"), 9).alias("product_id"),
+        "floor(value) AS view_duration",
+        f"{key('prod', "get_json_object(props, '$.k')", 9)} AS product_id",
     ).where("event_type = 'view' AND product_id IS NOT NULL")
     return jobs.run_append(jobs.product_view_counters(views), "views").drop("users_about")
 
@@ -493,9 +493,9 @@ def stream_payment_windows(shop):
     payments = jobs.file_stream(
         shop.spark,
         shop.path("orders"),
-        F.col("o_orderdate").cast("timestamp").alias("ts"),
-        payment_method().alias("payment_method"),
-        F.col("o_totalprice").cast("decimal(18,2)").alias("total"),
+        "timestamp(o_orderdate) AS ts",
+        f"{PAYMENT_METHOD} AS payment_method",
+        "CAST(o_totalprice AS DECIMAL(18,2)) AS total",
     )
     tumbling = jobs.run_append(jobs.payment_windows(payments, "1 day"), "payments")
     sliding = jobs.run_append(jobs.payment_windows(payments, "7 days", "1 day"), "payments")

@@ -5,19 +5,18 @@ become users, and the event log is cut into sessions. Every table is derived by
 Spark from the whole input tables; a table that a report does not use is not built.
 """
 
-from decimal import Decimal
-from functools import cached_property
+from functools import cached_property, lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from souk.functions.columns import exact_ratio, iso_text
+from souk.functions.columns import ISO
 from souk.functions.sessionize import session_slices, tag_events
 from souk.schemas import BROWSERS, DEVICE_TYPES, PAYMENT_METHODS, REFERRERS
 
 SESSION_GAP_SECONDS = 6 * 3600
 OPERATING_SYSTEMS = ("iOS", "Android", "Windows", "Linux")
-LINE_MONEY = "decimal(12,2)"
 # The event that stands for a page type.
 EVENT_OF_PAGE = {
     "product_detail": "view",
@@ -28,18 +27,43 @@ EVENT_OF_PAGE = {
 }
 
 
-def key(prefix: str, number: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+def key(prefix: str, number: str, width: int) -> str:
+    """SQL for a text id such as ``user_000000042``."""
+    return f"concat('{prefix}_', lpad(string({number}), {width}, '0'))"
 
 
-def pick(values: tuple[str, ...], position: Column) -> Column:
-    """The value at a 0-based position of a short fixed list."""
-    return F.element_at(F.array(*map(F.lit, values)), (position + 1).cast("int"))
+def pick(values: tuple[str, ...], position: str) -> str:
+    """SQL for the value at a 0-based position of a short fixed list."""
+    listed = ", ".join(f"'{value}'" for value in values)
+    return f"element_at(array({listed}), int({position}) + 1)"
 
 
-def payment_method() -> Column:
-    """The method behind the leading digit of an order priority."""
-    return pick(PAYMENT_METHODS, F.substring("o_orderpriority", 1, 1).cast("int") - 1)
+def iso(ts: str) -> str:
+    pattern = ISO.replace("'", "\\'")
+    return f"date_format({ts}, '{pattern}')"
+
+
+# SQL for the columns of orders, products and session products.
+PAYMENT_METHOD = pick(PAYMENT_METHODS, "int(substring(o_orderpriority, 1, 1)) - 1")
+ORDER_COLUMNS = (
+    f"{key('txn', 'o_orderkey', 12)} AS transaction_id",
+    f"{key('user', 'o_custkey', 9)} AS user_id",
+    f"{iso('timestamp(o_orderdate)')} AS timestamp",
+    "timestamp(o_orderdate) AS ts",
+    f"{PAYMENT_METHOD} AS payment_method",
+    """CASE WHEN o_orderkey % 7 = 0 THEN 'refunded' WHEN o_orderstatus = 'F' THEN 'completed'
+            WHEN o_orderstatus = 'O' THEN 'shipped' WHEN o_orderstatus = 'P' THEN 'processing' END AS status""",
+)
+CATEGORY_ID = "concat('cat_', p_type) AS category_id"
+SUBCATEGORY_ID = "concat_ws('_', 'sub', p_type, p_brand) AS subcategory_id"
+SESSION_ID = f"{key('sess', 'first_event_id', 10)} AS session_id"
+PRODUCT_ID = f"{key('prod', 'product', 9)} AS product_id"
+
+
+@lru_cache(maxsize=1000)
+def stored_schema(spark: SparkSession, path: str) -> StructType:
+    """The schema in the files, looked up once per session and path."""
+    return spark.read.parquet(path).schema
 
 
 class Warehouse:
@@ -58,7 +82,8 @@ class Warehouse:
         return f"{self.folder}/{name}.parquet"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        path = self.path(name)
+        return self.spark.read.schema(stored_schema(self.spark, path)).parquet(path)
 
     # --- users and products -------------------------------------------------
 
@@ -66,156 +91,118 @@ class Warehouse:
     def districts(self) -> DataFrame:
         """City to province. Nations and regions are fixed lists of 25 and 5 rows."""
         nation, region = self.table("nation"), F.broadcast(self.table("region"))
-        return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-            "n_nationkey", F.col("n_name").alias("city"), F.col("r_name").alias("province")
+        return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).selectExpr(
+            "n_nationkey", "n_name AS city", "r_name AS province"
         )
 
     @cached_property
     def users(self) -> DataFrame:
-        k = F.col("c_custkey")
-        registered = F.lit("1994-10-01 00:00:00").cast("timestamp") + F.make_dt_interval(
-            (k % 92).cast("int"), (k % 24).cast("int")
+        registered = (
+            "timestamp'1994-10-01 00:00:00' + make_dt_interval(int(c_custkey % 92), int(c_custkey % 24))"
         )
-        active = registered + F.make_dt_interval((30 + k % 61).cast("int"))
+        active = f"{registered} + make_dt_interval(int(30 + c_custkey % 61))"
         return (
             self.table("customer")
             .join(F.broadcast(self.districts), F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(
-                key("user_", k, 9).alias("user_id"),
+            .selectExpr(
+                f"{key('user', 'c_custkey', 9)} AS user_id",
                 "city",
-                F.col("province").alias("state"),
-                F.lit("RW").alias("country"),
-                iso_text(registered).alias("registration_date"),
-                iso_text(active).alias("last_active"),
-                registered.alias("registered_at"),
+                "province AS state",
+                "'RW' AS country",
+                f"{iso(registered)} AS registration_date",
+                f"{iso(active)} AS last_active",
+                f"{registered} AS registered_at",
             )
         )
 
-    @cached_property
-    def _parts(self) -> DataFrame:
-        return self.table("part").select(
-            "*",
-            F.concat(F.lit("cat_"), "p_type").alias("category_id"),
-            F.concat_ws("_", F.lit("sub"), "p_type", "p_brand").alias("subcategory_id"),
-        )
-
     @cached_property
     def categories(self) -> DataFrame:
-        return self._parts.select("category_id", F.concat("p_type", F.lit(" goods")).alias("category_name")).distinct()
+        return self.table("part").selectExpr(CATEGORY_ID, "concat(p_type, ' goods') AS category_name").distinct()
 
     @cached_property
     def subcategories(self) -> DataFrame:
-        brand_number = F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int")
-        return self._parts.select(
-            "category_id",
-            "subcategory_id",
-            F.col("p_brand").alias("subcategory_name"),
-            ((brand_number % 36 + 10).cast("double") / 100).alias("profit_margin"),
-        ).distinct()
+        return (
+            self.table("part")
+            .selectExpr(
+                CATEGORY_ID,
+                SUBCATEGORY_ID,
+                "p_brand AS subcategory_name",
+                "double(int(regexp_extract(p_brand, '([0-9]+)$', 1)) % 36 + 10) / 100 AS profit_margin",
+            )
+            .distinct()
+        )
 
     @cached_property
     def products(self) -> DataFrame:
-        k = F.col("p_partkey")
-        created = F.lit("1994-01-01 00:00:00").cast("timestamp") + F.make_dt_interval((k % 270).cast("int"))
-        return self._parts.select(
-            key("prod_", k, 9).alias("product_id"),
-            F.col("p_name").alias("name"),
-            "category_id",
-            "subcategory_id",
-            F.col("p_retailprice").cast(LINE_MONEY).alias("base_price"),
-            (k % 50).cast("bigint").alias("current_stock"),
-            (k % 50 > 0).alias("is_active"),
-            iso_text(created).alias("creation_date"),
+        created = "timestamp'1994-01-01 00:00:00' + make_dt_interval(int(p_partkey % 270))"
+        return self.table("part").selectExpr(
+            f"{key('prod', 'p_partkey', 9)} AS product_id",
+            "p_name AS name",
+            CATEGORY_ID,
+            SUBCATEGORY_ID,
+            "CAST(p_retailprice AS DECIMAL(12,2)) AS base_price",
+            "p_partkey % 50 AS current_stock",
+            "p_partkey % 50 > 0 AS is_active",
+            f"{iso(created)} AS creation_date",
         )
 
     # --- transactions -------------------------------------------------------
     # Joins and sums run on the raw narrow columns; ids and labels are built after them.
 
-    @cached_property
-    def _orders(self) -> DataFrame:
-        return self.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-
-    @staticmethod
-    def _order_columns() -> list[Column]:
-        k = F.col("o_orderkey")
-        status = (
-            F.when(k % 7 == 0, "refunded")
-            .when(F.col("o_orderstatus") == "F", "completed")
-            .when(F.col("o_orderstatus") == "O", "shipped")
-            .when(F.col("o_orderstatus") == "P", "processing")
-        )
-        ts = F.col("o_orderdate").cast("timestamp")
-        return [
-            key("txn_", k, 12).alias("transaction_id"),
-            key("user_", F.col("o_custkey"), 9).alias("user_id"),
-            iso_text(ts).alias("timestamp"),
-            ts.alias("ts"),
-            payment_method().alias("payment_method"),
-            status.alias("status"),
-        ]
-
     @cached_property
     def transactions(self) -> DataFrame:
         # Whole cents and whole percents: exact, and summed as plain longs.
-        cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
-        percents = F.rint(F.col("l_discount") * 100).cast("bigint")
         sums = (
             self.table("lineitem")
-            .select("l_orderkey", cents.alias("cents"), (cents * percents).alias("discount_units"))
+            .selectExpr("l_orderkey", "bigint(rint(l_extendedprice * 100)) AS cents", "bigint(rint(l_discount * 100)) AS pct")
             .groupBy("l_orderkey")
-            .agg(
-                F.sum("cents").alias("cents"),
-                F.sum("discount_units").alias("discount_units"),
-                F.count("*").alias("lines"),
-            )
+            .agg(F.sum("cents").alias("cents"), F.expr("sum(cents * pct) AS units"), F.count("*").alias("lines"))
         )
-
-        def amount(units: Column, unit: str) -> Column:
-            return (F.coalesce(units, F.lit(0)).cast("decimal(18,0)") * F.lit(Decimal(unit))).cast("decimal(20,4)")
-
-        subtotal = amount(F.col("cents"), "0.01")
-        discount = amount(F.col("discount_units"), "0.0001")
-        return self._orders.join(sums, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+        joined = self.table("orders").join(sums, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        amounts = joined.selectExpr(
+            "*",
+            "CAST(CAST(coalesce(cents, 0) AS DECIMAL(18,0)) * 0.01BD AS DECIMAL(20,4)) AS subtotal",
+            "CAST(CAST(coalesce(units, 0) AS DECIMAL(18,0)) * 0.0001BD AS DECIMAL(20,4)) AS discount",
+        )
+        return amounts.selectExpr(
             "o_orderkey",
-            key("sess_", F.expr("o_orderkey div 2"), 10).alias("session_id"),
-            *self._order_columns(),
-            subtotal.alias("subtotal"),
-            discount.alias("discount"),
-            (subtotal - discount).cast("decimal(20,4)").alias("total"),
-            F.coalesce("lines", F.lit(0)).cast("bigint").alias("item_count"),
+            f"{key('sess', 'o_orderkey div 2', 10)} AS session_id",
+            *ORDER_COLUMNS,
+            "subtotal",
+            "discount",
+            "CAST(subtotal - discount AS DECIMAL(20,4)) AS total",
+            "coalesce(lines, 0) AS item_count",
         )
 
     @cached_property
     def lines(self) -> DataFrame:
-        price = F.col("l_extendedprice")
+        unit_price = "try_divide(CAST(l_extendedprice AS DECIMAL(24,4)), CAST(l_quantity AS DECIMAL(24,4)))"
         return (
             self.table("lineitem")
-            .join(self._orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .select(
-                *self._order_columns(),
-                F.col("l_linenumber").cast("bigint").alias("line_number"),
-                key("prod_", F.col("l_partkey"), 9).alias("product_id"),
-                F.col("l_quantity").cast("bigint").alias("quantity"),
-                F.round(exact_ratio(price, F.col("l_quantity")), 2).cast(LINE_MONEY).alias("unit_price"),
-                price.cast(LINE_MONEY).alias("subtotal"),
+            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .selectExpr(
+                *ORDER_COLUMNS,
+                "bigint(l_linenumber) AS line_number",
+                f"{key('prod', 'l_partkey', 9)} AS product_id",
+                "bigint(l_quantity) AS quantity",
+                f"CAST(round({unit_price}, 2) AS DECIMAL(12,2)) AS unit_price",
+                "CAST(l_extendedprice AS DECIMAL(12,2)) AS subtotal",
             )
         )
 
     @cached_property
     def raw_transactions(self) -> DataFrame:
         """Transactions with the faults that cleaning has to handle."""
-        k = F.col("o_orderkey")
-        return self.transactions.select(
+        return self.transactions.selectExpr(
             "transaction_id",
-            F.when(k % 101 != 0, F.col("user_id")).alias("user_id"),
-            F.when(k % 83 == 0, "not-a-date").otherwise(F.col("timestamp")).alias("timestamp"),
-            F.when(k % 103 == 0, None)
-            .when(k % 5 == 0, F.concat(F.lit("  "), F.upper("status"), F.lit(" ")))
-            .otherwise(F.col("status"))
-            .alias("status"),
+            "CASE WHEN o_orderkey % 101 <> 0 THEN user_id END AS user_id",
+            "CASE WHEN o_orderkey % 83 = 0 THEN 'not-a-date' ELSE timestamp END AS timestamp",
+            """CASE WHEN o_orderkey % 103 = 0 THEN NULL
+                    WHEN o_orderkey % 5 = 0 THEN concat('  ', upper(status), ' ') ELSE status END AS status""",
             "subtotal",
             "discount",
-            F.when(k % 97 == 0, None).when(k % 89 == 0, -F.col("total")).otherwise(F.col("total")).alias("total"),
+            """CASE WHEN o_orderkey % 97 = 0 THEN NULL
+                    WHEN o_orderkey % 89 = 0 THEN -total ELSE total END AS total""",
         )
 
     # --- sessions -----------------------------------------------------------
@@ -223,41 +210,36 @@ class Warehouse:
     @cached_property
     def events(self) -> DataFrame:
         """The event log with numeric users; the product is set for the kinds that have one."""
-        with_product = F.col("event_type").isin("view", "click", "purchase")
-        return self.table("events").select(
+        return self.table("events").selectExpr(
             "event_id",
-            F.col("ts").cast("timestamp").alias("ts"),
+            "timestamp(ts) AS ts",
             "user_id",
             "event_type",
             "value",
-            F.when(with_product, F.get_json_object("props", "$.k")).alias("product"),
+            "CASE WHEN event_type IN ('view', 'click', 'purchase') THEN get_json_object(props, '$.k') END AS product",
         )
 
     def pages(self, page_type: str) -> DataFrame:
         """The page views of one type; the type becomes a filter of the scan."""
-        return self.events.where(F.col("event_type") == EVENT_OF_PAGE[page_type]).select(
-            key("user_", F.col("user_id"), 9).alias("user_id"),
+        return self.events.where(F.col("event_type") == EVENT_OF_PAGE[page_type]).selectExpr(
+            f"{key('user', 'user_id', 9)} AS user_id",
             "ts",
-            F.lit(page_type).alias("page_type"),
-            key("prod_", F.col("product"), 9).alias("product_id"),
-            F.floor("value").alias("view_duration"),
+            f"'{page_type}' AS page_type",
+            PRODUCT_ID,
+            "floor(value) AS view_duration",
         )
 
     @cached_property
     def _visits(self) -> DataFrame:
         """One row per session of the event log, with its raw measures."""
-
-        def count(condition: str) -> Column:
-            return F.count(F.when(F.expr(condition), 1))
-
         measures = {
-            "purchases": count("event_type = 'purchase'"),
-            "clicks": count("event_type = 'click'"),
-            "product_views": count("event_type = 'view' AND product IS NOT NULL"),
-            "cart_events": count("event_type IN ('click', 'purchase') AND product IS NOT NULL"),
+            "purchases": "event_type = 'purchase'",
+            "clicks": "event_type = 'click'",
+            "product_views": "event_type = 'view' AND product IS NOT NULL",
+            "cart_events": "event_type IN ('click', 'purchase') AND product IS NOT NULL",
         }
         slices = session_slices(
-            self.events, SESSION_GAP_SECONDS, *[measure.alias(name) for name, measure in measures.items()]
+            self.events, SESSION_GAP_SECONDS, *[F.expr(f"count_if({test}) AS {name}") for name, test in measures.items()]
         )
         visits = slices.groupBy("user_id", "first_event_id").agg(
             F.min("first.ts").alias("started_at"),
@@ -265,48 +247,37 @@ class Warehouse:
             F.sum("event_count").alias("page_view_count"),
             *[F.sum(name).alias(name) for name in measures],
         )
-        first = F.col("first_event_id")
-        user = F.col("user_id")
-        return visits.select(
+        return visits.selectExpr(
             "first_event_id",
-            key("sess_", first, 10).alias("session_id"),
-            key("user_", user, 9).alias("user_id"),
+            SESSION_ID,
+            f"{key('user', 'user_id', 9)} AS user_id",
             "started_at",
             "ended_at",
-            F.expr("(unix_micros(ended_at) - unix_micros(started_at)) div 1000000").alias("duration_seconds"),
-            pick(DEVICE_TYPES, user % 3).alias("device_type"),
-            pick(OPERATING_SYSTEMS, user % 4).alias("os"),
-            pick(BROWSERS, user % 4).alias("browser"),
-            pick(REFERRERS, first % 7).alias("referrer"),
-            F.when(F.col("purchases") > 0, "converted")
-            .when(F.col("clicks") > 0, "abandoned")
-            .otherwise("browsing")
-            .alias("conversion_status"),
+            "(unix_micros(ended_at) - unix_micros(started_at)) div 1000000 AS duration_seconds",
+            f"{pick(DEVICE_TYPES, 'user_id % 3')} AS device_type",
+            f"{pick(OPERATING_SYSTEMS, 'user_id % 4')} AS os",
+            f"{pick(BROWSERS, 'user_id % 4')} AS browser",
+            f"{pick(REFERRERS, 'first_event_id % 7')} AS referrer",
+            "CASE WHEN purchases > 0 THEN 'converted' WHEN clicks > 0 THEN 'abandoned' ELSE 'browsing' END"
+            " AS conversion_status",
             "page_view_count",
-            (F.col("product_views") > 0).alias("has_viewed_product"),
-            (F.col("cart_events") > 0).alias("has_cart"),
+            "product_views > 0 AS has_viewed_product",
+            "cart_events > 0 AS has_cart",
         )
 
     @cached_property
     def sessions(self) -> DataFrame:
-        return self._visits.withColumns(
-            {"start_time": iso_text(F.col("started_at")), "end_time": iso_text(F.col("ended_at"))}
-        ).drop("first_event_id")
+        return self._visits.selectExpr(
+            "* EXCEPT (first_event_id)", f"{iso('started_at')} AS start_time", f"{iso('ended_at')} AS end_time"
+        )
 
     @cached_property
     def _product_events(self) -> DataFrame:
         return tag_events(self.events, SESSION_GAP_SECONDS).where("product IS NOT NULL")
 
-    @staticmethod
-    def _session_product() -> list[Column]:
-        return [
-            key("sess_", F.col("first_event_id"), 10).alias("session_id"),
-            key("prod_", F.col("product"), 9).alias("product_id"),
-        ]
-
     @cached_property
     def viewed(self) -> DataFrame:
-        return self._product_events.where("event_type = 'view'").select(*self._session_product())
+        return self._product_events.where("event_type = 'view'").selectExpr(SESSION_ID, PRODUCT_ID)
 
     @cached_property
     def cart_quantities(self) -> DataFrame:
@@ -314,12 +285,12 @@ class Warehouse:
             self._product_events.where("event_type IN ('click', 'purchase')")
             .groupBy("first_event_id", "product")
             .agg(F.count("*").alias("quantity"))
-            .select(*self._session_product(), "quantity")
+            .selectExpr(SESSION_ID, PRODUCT_ID, "quantity")
         )
 
     @cached_property
     def cart(self) -> DataFrame:
-        price = self.products.select("product_id", F.col("base_price").alias("price"))
+        price = self.products.selectExpr("product_id", "base_price AS price")
         owner = self._visits.select("session_id", "user_id", "started_at", "ended_at", "conversion_status")
         return self.cart_quantities.join(owner, "session_id").join(price, "product_id", "left")
 
@@ -330,7 +301,7 @@ class Warehouse:
         viewed = (
             self.viewed.distinct()
             .groupBy("session_id")
-            .agg(F.concat_ws(",", F.array_sort(F.collect_list("product_id"))).alias("viewed_products"))
+            .agg(F.expr("concat_ws(',', array_sort(collect_list(product_id))) AS viewed_products"))
         )
         cart = self.cart_quantities.groupBy("session_id").agg(F.count("*").alias("cart_size"))
         places = self.users.select("user_id", "city", "state")
@@ -344,15 +315,15 @@ class Warehouse:
     @cached_property
     def raw_sessions(self) -> DataFrame:
         """Sessions with the faults that cleaning has to handle."""
-        k = F.col("first_event_id")
-        return self._visits.select(
+        return self._visits.selectExpr(
             "session_id",
             "user_id",
-            F.when(k % 11 == 0, 0).when(k % 13 == 0, None).otherwise(F.col("page_view_count")).alias("page_view_count"),
-            F.when(k % 17 == 0, None).when(k % 19 == 0, "").otherwise(F.col("referrer")).alias("referrer"),
-            F.when(k % 29 == 0, None)
-            .when(k % 23 == 0, F.upper("conversion_status"))
-            .otherwise(F.col("conversion_status"))
-            .alias("conversion_status"),
-            F.when(k % 31 != 0, F.col("duration_seconds")).alias("duration_seconds"),
+            """CASE WHEN first_event_id % 11 = 0 THEN 0
+                    WHEN first_event_id % 13 = 0 THEN NULL ELSE page_view_count END AS page_view_count""",
+            """CASE WHEN first_event_id % 17 = 0 THEN NULL
+                    WHEN first_event_id % 19 = 0 THEN '' ELSE referrer END AS referrer""",
+            """CASE WHEN first_event_id % 29 = 0 THEN NULL
+                    WHEN first_event_id % 23 = 0 THEN upper(conversion_status)
+                    ELSE conversion_status END AS conversion_status""",
+            "CASE WHEN first_event_id % 31 <> 0 THEN duration_seconds END AS duration_seconds",
         )

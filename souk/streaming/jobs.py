@@ -7,9 +7,8 @@ the shared folder; nothing passes through the driver.
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from souk.functions.columns import iso_text, mean, money
 from souk.session import fresh_dir
@@ -102,18 +101,17 @@ def version(base: str, batch_id: int) -> str:
 # --- running to the end of the available input -------------------------------------
 
 
-def file_stream(spark: SparkSession, path: str, *columns: Column | str, per_batch: int | None = None) -> DataFrame:
+def file_stream(spark: SparkSession, path: str, *columns: str, per_batch: int | None = None) -> DataFrame:
     """A stream over a Parquet file or folder, with the schema of the files there now.
 
     The path is given as a pattern that matches only itself: a stream accepts a single
     file only through a pattern.
     """
-    schema: StructType = spark.read.parquet(path).schema
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if per_batch:
         reader = reader.option("maxFilesPerTrigger", per_batch)
     stream = reader.parquet(f"{path[:-1]}[{path[-1]}]")
-    return stream.select(*columns) if columns else stream
+    return stream.selectExpr(*columns) if columns else stream
 
 
 def run_append(result: DataFrame, purpose: str) -> DataFrame:
