@@ -40,8 +40,10 @@ def generate(seed, giants):
     return sorted(rows)
 
 
-@pytest.mark.parametrize("giants", [0, 1, 3, 7])
-@pytest.mark.parametrize(("giant_size", "block"), [(2_000, 500), (20, 500), (20, 5), (2_000, 4), (3, 2)])
+@pytest.mark.parametrize(
+    ("giants", "giant_size", "block"),
+    [(0, 2_000, 500), (1, 20, 500), (3, 20, 5), (7, 20, 500), (7, 20, 5), (3, 2_000, 4), (1, 3, 2), (7, 3, 2)],
+)
 def test_pairs_match_brute_force(spark, giants, giant_size, block):
     data = generate(giants * 31 + giant_size + block, giants)
     df = spark.createDataFrame(data, "basket string, item string")
@@ -52,7 +54,7 @@ def test_pairs_match_brute_force(spark, giants, giant_size, block):
     assert each == partners(found, 3)
 
 
-@pytest.mark.parametrize("n", [1, 40, 5_000])
+@pytest.mark.parametrize("n", [1, 5_000])
 def test_more_pairs_than_exist(spark, n):
     data = generate(5, 2)
     df = spark.createDataFrame(data, "basket string, item string")

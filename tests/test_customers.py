@@ -142,8 +142,8 @@ def test_histogram_of_one_value_and_of_nothing(spark):
     assert sum(r.users for r in nothing) == 0 and len(nothing) == 30
 
 
-@pytest.mark.parametrize("p", [0.0, 0.2, 0.5, 0.8, 0.999, 1.0])
-@pytest.mark.parametrize("n", [1, 2, 7, 1492, 30_000])
+@pytest.mark.parametrize("p", [0.0, 0.8, 0.999, 1.0])
+@pytest.mark.parametrize("n", [1, 7, 1492, 30_000])
 def test_exact_percentile(spark, n, p):
     rng = random.Random(n)
     # A third of all values are equal.
