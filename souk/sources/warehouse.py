@@ -176,7 +176,9 @@ class Warehouse:
 
     @cached_property
     def lines(self) -> DataFrame:
-        unit_price = "try_divide(CAST(l_extendedprice AS DECIMAL(24,4)), CAST(l_quantity AS DECIMAL(24,4)))"
+        # Cents per unit, rounded half up in whole numbers.
+        cents, units = "bigint(rint(l_extendedprice * 100))", "bigint(l_quantity)"
+        unit_cents = f"(2 * {cents} + {units}) div nullif(2 * {units}, 0)"
         return (
             self.table("lineitem")
             .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -185,8 +187,8 @@ class Warehouse:
                 "bigint(l_linenumber) AS line_number",
                 f"{key('prod', 'l_partkey', 9)} AS product_id",
                 "bigint(l_quantity) AS quantity",
-                f"CAST(round({unit_price}, 2) AS DECIMAL(12,2)) AS unit_price",
-                "CAST(l_extendedprice AS DECIMAL(12,2)) AS subtotal",
+                f"CAST(CAST({unit_cents} AS DECIMAL(12,0)) * 0.01BD AS DECIMAL(12,2)) AS unit_price",
+                f"CAST(CAST({cents} AS DECIMAL(12,0)) * 0.01BD AS DECIMAL(12,2)) AS subtotal",
             )
         )
 
