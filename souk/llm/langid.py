@@ -17,6 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 ORDER = 3
 #: About so many bytes of text of each language are learned from, whatever the size of the input.
@@ -64,7 +65,7 @@ def fit(texts: dict[str, list[str]]) -> Model:
             total = np.bincount(at, counts, len(known))
             kinds = np.bincount(at, minlength=len(known))
             held = total > 0
-            level[held, :, j] += (np.log2(total + kinds) - np.log2(np.maximum(kinds, 1)))[held, None]
+            level[held, :, j] += np.log2((total + kinds)[held] / kinds[held])[:, None]
             level[at, pairs % size, j] = np.log2(total[at] + kinds[at]) - np.log2(counts)
         # a context unknown to all languages stands in the row of its own last bytes
         base = sum(len(r) for r in all_rows)
@@ -132,6 +133,7 @@ def classify(
     first language in the alphabet. Each row is predicted by its text alone; an empty table gives no rows.
     """
     spark = docs.sparkSession
+    docs = docs.drop("lang_pred", "score", "bits_per_byte")
     model = fit(sample(docs.where(training), id_col, text_col, lang_col, sample_bytes))
     sent = spark.sparkContext.broadcast(model)
     names = docs.columns
@@ -164,7 +166,5 @@ def classify(
                 [*names, "lang_pred", "score", "bits_per_byte"],
             )
 
-    from pyspark.sql.types import StructType
-
     schema = StructType(docs.schema.fields[:]).add("lang_pred", "string").add("score", "double").add("bits_per_byte", "double")
     return docs.mapInArrow(run, schema)

@@ -141,7 +141,7 @@ def links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
     sides = F.expr("transform(sequence(0, blocks - 1), o -> struct(least(o, own) as i, greatest(o, own) as j))")
     grid = members.select("slot", "bytes", "own", "fp", F.explode(sides).alias("g"))
 
-    def compare(key, group: pd.DataFrame) -> pd.DataFrame:
+    def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         i, j = key[2], key[3]
         prints_of = {k: np.sort(g.to_numpy().view(np.uint64)) for k, g in group.groupby("own")["fp"]}
         none = np.zeros(0, np.uint64)

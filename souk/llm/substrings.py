@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from souk.llm.arrays import span_hashes, text_slices, words
 
@@ -138,7 +139,7 @@ def without_repeats(
         F.collect_set(F.struct("start", "stop", "digest")).alias("_spans")
     )
     joined = docs.join(spans, F.col(id_col) == F.col("_of"), "left").drop("_of")
-    names = joined.columns
+    names, kept_names = joined.columns, docs.columns
     at, spans_at = names.index(text_col), names.index("_spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,8 +156,8 @@ def without_repeats(
                 texts = pa.array(new, texts.type)
             columns = [texts if k == at else batch.column(k) for k in range(len(names)) if k != spans_at]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(cuts), pa.array(gone)], [*docs.columns, "_cuts", "_cut_words"]
+                [*columns, pa.array(cuts), pa.array(gone)], [*kept_names, "_cuts", "_cut_words"]
             )
 
-    schema = docs.schema.add("_cuts", "int").add("_cut_words", "int")
+    schema = StructType(docs.schema.fields[:]).add("_cuts", "integer").add("_cut_words", "integer")
     return joined.mapInArrow(run, schema)

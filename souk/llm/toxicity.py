@@ -19,8 +19,10 @@ from pyspark.sql.types import StructType
 #: Labelled texts that lexicon and weights are learned from, at most about so many.
 SAMPLE_ROWS = 10_000
 #: A term's chance of standing by accident in so many toxic texts, times the terms tried, is below this.
-CHANCE = 0.01
+CHANCE = 0.3
 MIN_PRECISION = 0.7
+#: Texts from which on terms are not told apart when counting the terms tried.
+MANY = 64
 #: Letters of a beginning, and how many times the texts of its best word it must reach.
 STEM_LETTERS, STEM_GAIN = (4, 5, 6), 1.5
 #: Edits allowed from so many letters on.
@@ -266,12 +268,13 @@ def term_counts(sample: DataFrame) -> DataFrame:
     return rows.groupBy("term", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def lexicon(rows: list[tuple[str, bool, int, int]], toxic: int, clean: int, tried: int) -> list[tuple[str, bool]]:
-    """Terms whose texts are toxic too often for chance; a beginning only where it reaches well beyond its words."""
+def lexicon(rows: list[tuple[str, bool, int, int]], toxic: int, clean: int, tried: dict[int, int]) -> list[tuple[str, bool]]:
+    """Terms whose texts are toxic too often for chance, as there are so many terms in as many texts; a beginning only where it reaches well beyond its words."""
     share = toxic / max(1, toxic + clean)
     passed: dict[tuple[str, bool], int] = {}
     for term, stem, k, m in rows:
-        chance = log(comb(k + m, k)) + k * log(max(share, 1e-12)) + log(max(1, tried))
+        as_often = sum(n for texts, n in tried.items() if texts >= min(k + m, MANY))
+        chance = log(comb(k + m, k)) + k * log(max(share, 1e-12)) + log(max(1, as_often))
         if k and k >= MIN_PRECISION * (k + m) and chance < log(CHANCE):
             passed[term, stem] = k
     words = {t: k for (t, stem), k in passed.items() if not stem}
@@ -295,10 +298,11 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, id_col: str, text_
     totals = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     counted = term_counts(sample)
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
-    rows, tried = [], 0
+    rows, tried = [], {}
     if toxic:
         least = max(3, 0.002 * toxic)
-        tried = counted.where(F.col("toxic") + F.col("clean") >= least).count()
+        texts_of = F.least(F.col("toxic") + F.col("clean"), F.lit(MANY))
+        tried = {r["k"]: r["n"] for r in counted.groupBy(texts_of.alias("k")).agg(F.count("*").alias("n")).collect()}
         often = counted.where((F.col("toxic") >= least) & (F.col("toxic") >= MIN_PRECISION * (F.col("toxic") + F.col("clean"))))
         rows = [tuple(r) for r in often.collect()]
     terms = lexicon(rows, toxic, clean, tried)
@@ -347,4 +351,4 @@ def score(
             predicted = (found >= threshold).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found), pa.array(predicted)], [*names, "score", "predicted"])
 
-    return docs.mapInArrow(run, StructType(docs.schema.fields[:]).add("score", "double").add("predicted", "int"))
+    return docs.mapInArrow(run, StructType(docs.schema.fields[:]).add("score", "double").add("predicted", "integer"))
