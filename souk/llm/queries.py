@@ -1,6 +1,10 @@
 """The registered queries of the text operators, over whole tables with production parameters."""
 
+import functools
+import shutil
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +25,21 @@ WEIGHTS = [{"web": 4, "books": 3, "reference": 2}, {"en": 5, "de": 2, "fr": 2, "
 BUDGET, MAX_EPOCHS, SEED = 1.0, 4, 42
 
 
+def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The query, with this package sent to the executors first, once for a Spark context."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *rest) -> DataFrame:
+        context = spark.sparkContext
+        if getattr(context, "souk_sent", None) is None:
+            root = Path(__file__).resolve().parents[2]
+            context.souk_sent = shutil.make_archive(f"{tempfile.mkdtemp(prefix='souk-')}/souk", "zip", root, "souk")
+            context.addPyFile(context.souk_sent)
+        return query(spark, *rest)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -94,7 +113,7 @@ def op10_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        f.__name__: f
+        f.__name__: shipped(f)
         for f in (
             op1_substring_dedup,
             op2_language_id,

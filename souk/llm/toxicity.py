@@ -16,6 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from souk.llm.arrays import LOWER, span_hashes, text_slices, words
+from souk.session import materialize
+
 #: Labelled texts that lexicon and weights are learned from, at most about so many.
 SAMPLE_ROWS = 10_000
 #: A term's chance of standing by accident in so many toxic texts, times the terms tried, is below this.
@@ -23,8 +26,8 @@ CHANCE = 0.3
 MIN_PRECISION = 0.7
 #: Texts from which on terms are not told apart when counting the terms tried.
 MANY = 64
-#: Letters of a beginning, and how many times the texts of its best word it must reach.
-STEM_LETTERS, STEM_GAIN = (4, 5, 6), 1.5
+#: Letters of a beginning, how many times the texts of its best word it must reach, and its precision.
+STEM_LETTERS, STEM_GAIN, STEM_PRECISION = (3, 4, 5, 6, 7, 8), 1.5, 0.9
 #: Edits allowed from so many letters on.
 EDITS = ((10, 2), (5, 1))
 #: Characters around a hit that are read as its context, and texts read at once.
@@ -54,6 +57,7 @@ class Automaton:
     edits: np.ndarray
     final: np.ndarray
     longest: int
+    strong: list[bool] = field(default_factory=list)
 
 
 @dataclass
@@ -79,8 +83,9 @@ def word_characters() -> np.ndarray:
     return _word_mask[0]
 
 
-def build(terms: list[tuple[str, bool]]) -> Automaton:
-    """The trie of ``(term, is a beginning)`` intersected with Levenshtein automata, by subsets."""
+def build(terms: list[tuple[str, bool]], exact: frozenset[int] = frozenset()) -> Automaton:
+    """The trie of ``(term, is a beginning)`` intersected with Levenshtein automata, by subsets; terms in ``exact`` allow no edits."""
+    most_of = [0 if i in exact else allowed_edits(*t) for i, t in enumerate(terms)]
     letters = sorted({c for t, _ in terms for c in t})
     code = {c: i + 2 for i, c in enumerate(letters)}
     classes = word_characters().astype(np.uint8)  # 1: a letter of no term
@@ -92,8 +97,8 @@ def build(terms: list[tuple[str, bool]]) -> Automaton:
     children: list[dict[int, int]] = [{}]
     ends: dict[int, int] = {}
     reach = [0]
-    for i, (term, stem) in enumerate(terms):
-        node, most = 0, allowed_edits(term, stem)
+    for i, (term, _) in enumerate(terms):
+        node, most = 0, most_of[i]
         reach[0] = max(reach[0], most)
         for c in term:
             if code[c] not in children[node]:
@@ -148,17 +153,17 @@ def build(terms: list[tuple[str, bool]]) -> Automaton:
     term, edits = np.full(len(number), -1, np.int32), np.zeros(len(number), np.int8)
     final = np.zeros(len(number), bool)
     for state, k in number.items():
-        found = [(e, ends[n]) for n, e in state if n in ends and e <= allowed_edits(*terms[ends[n]])]
+        found = [(e, ends[n]) for n, e in state if n in ends and e <= most_of[ends[n]]]
         if found:
             edits[k], term[k] = min(found)
             final[k] = len(state) == 1 and state[0][0] in sticky
-    longest = max((len(t) + allowed_edits(t, s) for t, s in terms), default=0)
+    longest = max((len(t) + most for (t, _), most in zip(terms, most_of, strict=True)), default=0)
     table = np.array([steps[k] for k in range(len(number))], np.int32)
     return Automaton(classes, table, term, edits, final, longest)
 
 
-def hits(automaton: Automaton, texts: list[str]) -> Iterator[tuple[int, int, int, int]]:
-    """``(text, begin, end, edits)`` of each word that the automaton accepts."""
+def hits(automaton: Automaton, texts: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
+    """``(text, begin, end, term, edits)`` of each word that the automaton accepts."""
     joined = "\n".join(texts) + "\n"
     kinds = automaton.classes[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)]
     inside = kinds > 0
@@ -176,7 +181,7 @@ def hits(automaton: Automaton, texts: list[str]) -> Iterator[tuple[int, int, int
     begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
     for w in np.flatnonzero(automaton.term[state] >= 0).tolist():
         text = int(np.searchsorted(begins, starts[w], "right")) - 1
-        yield text, int(starts[w] - begins[text]), int(ends[w] - begins[text]), int(automaton.edits[state[w]])
+        yield text, int(starts[w] - begins[text]), int(ends[w] - begins[text]), int(automaton.term[state[w]]), int(automaton.edits[state[w]])
 
 
 def quoted(text: str, begin: int, end: int) -> bool:
@@ -198,17 +203,28 @@ def _bare(words: list[str]) -> list[str]:
     return [w.lower().strip(".,;:!?\"'()") for w in words]
 
 
-FEATURES = 5
+#: Share of toxic texts among those of a term, one clean text added, from which on a single hit may tell.
+STRONG = 0.95
+FEATURES = 7
 
 
 def features(automaton: Automaton, texts: list[str]) -> np.ndarray:
-    """Per text: plain hits exact and misspelled, quoted ones exact and misspelled, hits that address somebody, each as a number below 1."""
+    """Per text whether it has a plain hit of a strong term, a misspelled one, one that addresses somebody, and a quoted one; and
+    whether there are one, two and three or more plain hits of weaker terms.
+
+    A misspelled hit is a hit too, so that it weighs as much unless the labels tell otherwise.
+    """
     counts = np.zeros((len(texts), FEATURES))
-    for i, begin, end, edits in hits(automaton, texts):
-        in_quotes = quoted(texts[i], begin, end)
-        counts[i, 2 * in_quotes + (edits > 0)] += 1
-        counts[i, 4] += not in_quotes and addressed(texts[i], begin)
-    return counts / (counts + 0.5)
+    for i, begin, end, term, edits in hits(automaton, texts):
+        if quoted(texts[i], begin, end):
+            counts[i, 3] = 1
+        elif automaton.strong[term]:
+            counts[i, 0] = 1
+            counts[i, 1] = max(counts[i, 1], edits > 0)
+            counts[i, 2] = max(counts[i, 2], addressed(texts[i], begin))
+        else:
+            counts[i, 4 + min(2, int(counts[i, 4:].sum()))] = 1
+    return counts
 
 
 def regression(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 60) -> np.ndarray:
@@ -242,6 +258,29 @@ def scores(model: Model, texts: list[str]) -> np.ndarray:
     return out
 
 
+def one_of_copies(sample: DataFrame) -> DataFrame:
+    """``(text, toxic)``: of sampled texts with the same least hash of five words, likely copies, one for each label.
+
+    Else the words of a text copied often would seem to stand in many texts.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least = []
+            for _, _, data, offsets in text_slices(batch.column(0)):
+                starts, ends, doc = words(data, offsets)
+                last = np.minimum(np.arange(len(doc)) + 4, np.searchsorted(doc, doc, "right") - 1)
+                low = np.full(len(offsets) - 1, np.iinfo(np.uint64).max)
+                np.minimum.at(low, doc, span_hashes(LOWER[data], starts, ends[last]))
+                least.append(low.view(np.int64))
+            found = pa.array(np.concatenate(least)) if least else pa.array([], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], ["text", "toxic", "least"])
+
+    kind = sample.schema["toxic"].dataType.simpleString()
+    marked = sample.select("text", "toxic").mapInArrow(run, f"text string, toxic {kind}, least long")
+    return materialize(marked.groupBy("least", "toxic").agg(F.min("text").alias("text")).select("text", "toxic"), "labelled-sample")
+
+
 def term_counts(sample: DataFrame) -> DataFrame:
     """``(term, stem, toxic, clean)``: texts of either label with each word and each beginning of a longer word."""
 
@@ -275,7 +314,7 @@ def lexicon(rows: list[tuple[str, bool, int, int]], toxic: int, clean: int, trie
     for term, stem, k, m in rows:
         as_often = sum(n for texts, n in tried.items() if texts >= min(k + m, MANY))
         chance = log(comb(k + m, k)) + k * log(max(share, 1e-12)) + log(max(1, as_often))
-        if k and k >= MIN_PRECISION * (k + m) and chance < log(CHANCE):
+        if k and k >= (STEM_PRECISION if stem else MIN_PRECISION) * (k + m) and chance < log(CHANCE):
             passed[term, stem] = k
     words = {t: k for (t, stem), k in passed.items() if not stem}
     stems: list[str] = []
@@ -287,6 +326,21 @@ def lexicon(rows: list[tuple[str, bool, int, int]], toxic: int, clean: int, trie
     return sorted(plain + [(t, True) for t in stems])
 
 
+def misleading(sample: DataFrame, sent) -> frozenset[int]:
+    """Terms whose misspellings stand in clean texts of the sample too often."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            labels = batch.column(1).to_pylist()
+            seen = {(i, term) for i, _, _, term, edits in hits(sent.value, batch.column(0).to_pylist()) if edits}
+            terms = pa.array([t for _, t in seen], pa.int32())
+            yield pa.RecordBatch.from_arrays([terms, pa.array([labels[i] for i, _ in seen], pa.int64())], ["term", "toxic"])
+
+    rows = sample.select("text", "toxic").mapInArrow(run, "term int, toxic long").groupBy("term")
+    share = rows.agg(F.avg("toxic").alias("share")).where(F.col("share") < MIN_PRECISION)
+    return frozenset(r["term"] for r in share.collect())
+
+
 def fit(docs: DataFrame, labels: DataFrame, training: Column, id_col: str, text_col: str, sample_rows: int) -> Model:
     spark = docs.sparkSession
     known = labels.where(F.col("toxic").isin(0, 1)).where(training).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -294,7 +348,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, id_col: str, text_
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("toxicity")), F.lit(1 << 20)) / float(1 << 20)
     chosen = known.where(place < min(1.0, sample_rows / max(1, n)))  # about sample_rows rows: small enough to send to all
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    sample = texts.join(F.broadcast(chosen), "doc_id")
+    sample = one_of_copies(texts.join(F.broadcast(chosen), "doc_id"))
     totals = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     counted = term_counts(sample)
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
@@ -306,7 +360,9 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, id_col: str, text_
         often = counted.where((F.col("toxic") >= least) & (F.col("toxic") >= MIN_PRECISION * (F.col("toxic") + F.col("clean"))))
         rows = [tuple(r) for r in often.collect()]
     terms = lexicon(rows, toxic, clean, tried)
-    automaton = build(terms)
+    automaton = build(terms, misleading(sample, spark.sparkContext.broadcast(build(terms))))
+    texts_of = {(t, stem): (k, m) for t, stem, k, m in rows}
+    automaton.strong = [texts_of[t][0] >= STRONG * (sum(texts_of[t]) + 1) for t in terms]
     sent = spark.sparkContext.broadcast(automaton)
     names = [f"x{k}" for k in range(FEATURES)]
 
