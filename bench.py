@@ -46,6 +46,14 @@ HEADLINE = [
     "also_bought",
     "coview_pairs",
     "stream_product_views",
+    "fk_violations",
+    "duplicate_keys",
+    "user_sessions_recent",
+    "user_sessions_converted",
+    "order_lines_from_carts",
+    "stream_payment_windows",
+    "stream_sessions",
+    "stream_dedup",
 ]
 
 

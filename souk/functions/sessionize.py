@@ -4,6 +4,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Time and event id as one number: its minimum is found by hash aggregation, without sorting the events.
+ID_SPACE = "10000000000000000000BD"
+IN_ORDER = f"CAST(CAST(unix_micros(ts) AS DECIMAL(18,0)) * {ID_SPACE} + CAST(event_id AS DECIMAL(19,0)) AS DECIMAL(38,0))"
+
+
 def with_bucket(events: DataFrame, gap_seconds: int) -> DataFrame:
     """Add ``bucket``, the index of a time slice shorter than the gap.
 
@@ -26,12 +31,15 @@ def session_slices(events: DataFrame, gap_seconds: int, *measures: Column) -> Da
         with_bucket(events, gap_seconds)
         .groupBy("user_id", "bucket")
         .agg(
-            F.min(F.struct("ts", "event_id")).alias("first"),
+            F.min("ts").alias("first_ts"),
+            F.min(F.expr(IN_ORDER)).alias("first_in_order"),
             F.max("ts").alias("last_ts"),
             F.count("*").alias("event_count"),
             *measures,
         )
     )
+    first = F.struct(F.col("first_ts").alias("ts"), F.expr(f"CAST(first_in_order % {ID_SPACE} AS BIGINT)").alias("event_id"))
+    slices = slices.withColumn("first", first).drop("first_ts", "first_in_order")
     in_order = Window.partitionBy("user_id").orderBy("bucket")
     since_previous = F.unix_micros("first.ts") - F.unix_micros(F.lag("last_ts").over(in_order))
     starts = since_previous.isNull() | (since_previous > gap_seconds * 1_000_000)

@@ -121,7 +121,6 @@ def recent_sessions_per_user(sessions: DataFrame, n: int = 10) -> DataFrame:
 
 
 def keep_last_versions(cells: DataFrame, n: int = 3) -> DataFrame:
-    """The last ``n`` versions of the statistics cells of each user."""
-    rows = cells.select("user_id", "session_id", "started_at", "start_time", "page_view_count", "has_cart")
-    order = [F.desc("started_at"), F.desc("session_id")]
-    return newest_per_key(rows, "user_id", order, n, "version").drop("started_at")
+    """The last ``n`` versions of the statistics cells of each row key, by ``written``; the newest is version 1."""
+    rows = cells.select("row_key", "session_id", "written", "page_view_count", "cart_size")
+    return newest_per_key(rows, "row_key", [F.desc("written"), F.desc("session_id")], n, "version")

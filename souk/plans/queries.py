@@ -32,16 +32,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # --- keyed access -----------------------------------------------------------------
 
 
+def busiest_user(shop) -> str:
+    """The user to look up; a user to start with, as there are no users without events."""
+    row = keyed.busiest_user(shop.sessions).first()
+    return row["user_id"] if row else "user_000000000"
+
+
 @report
 def user_sessions_recent(shop):
-    table = keyed.session_keyed_table(shop.session_cells)
-    return keyed.user_sessions(table, keyed.busiest_user(shop.sessions).scalar())
+    user = busiest_user(shop)
+    return keyed.user_sessions(keyed.session_keyed_table(shop.of_user(user).session_cells), user)
 
 
 @report
 def user_sessions_converted(shop):
-    table = keyed.session_keyed_table(shop.session_cells)
-    return keyed.user_converted_sessions(table, keyed.busiest_user(shop.sessions).scalar())
+    user = busiest_user(shop)
+    return keyed.user_converted_sessions(keyed.session_keyed_table(shop.of_user(user).session_cells), user)
 
 
 @report
@@ -56,7 +62,7 @@ def session_keyed_table(shop):
 
 @report
 def keep_last_3_versions(shop):
-    return keyed.keep_last_versions(shop.sessions)
+    return keyed.keep_last_versions(shop.cell_versions)
 
 
 @report
@@ -113,7 +119,7 @@ def duplicate_keys(shop):
             quality.duplicates(shop.products, "products", "product_id"),
             quality.duplicates(shop.transactions, "transactions", "transaction_id"),
             quality.duplicates(shop.sessions, "sessions", "session_id"),
-            quality.duplicates(shop.lines, "order_lines", "transaction_id", "line_number"),
+            quality.duplicates(shop.table("lineitem"), "order_lines", "l_orderkey", "l_linenumber"),
         ]
     )
 
@@ -126,8 +132,8 @@ def fk_violations(shop):
         [
             faults("users-transactions", shop.users, "user_id", shop.transactions, "user_id"),
             faults("users-sessions", shop.users, "user_id", shop.sessions, "user_id"),
-            faults("transactions-items", shop.transactions, "transaction_id", shop.lines, "transaction_id"),
-            faults("products-items", shop.products, "product_id", shop.lines, "product_id"),
+            faults("transactions-items", shop.table("orders"), "o_orderkey", shop.table("lineitem"), "l_orderkey"),
+            faults("products-items", shop.table("part"), "p_partkey", shop.table("lineitem"), "l_partkey"),
             faults("categories-products", items, "category_id", shop.products, "category_id"),
             faults("sessions-transactions", shop.sessions, "session_id", shop.transactions, "session_id"),
         ]
@@ -484,7 +490,7 @@ def stream_product_views(shop):
         "floor(value) AS view_duration",
         f"{key('prod', "get_json_object(props, '$.k')", 9)} AS product_id",
     ).where("event_type = 'view' AND product_id IS NOT NULL")
-    return jobs.run_append(jobs.product_view_counters(views), "views").drop("users_about")
+    return jobs.run_complete(jobs.views_per_user(views), "views", jobs.view_counters)
 
 
 @report
@@ -497,14 +503,14 @@ def stream_payment_windows(shop):
         f"{PAYMENT_METHOD} AS payment_method",
         "CAST(o_totalprice AS DECIMAL(18,2)) AS total",
     )
-    tumbling = jobs.run_append(jobs.payment_windows(payments, "1 day"), "payments")
-    sliding = jobs.run_append(jobs.payment_windows(payments, "7 days", "1 day"), "payments")
+    tumbling = jobs.run_complete(jobs.payment_windows(payments, "1 day"), "payments")
+    sliding = jobs.run_complete(jobs.payment_windows(payments, "7 days", "1 day"), "payments")
     return tumbling.unionByName(sliding)
 
 
 @report
 def stream_sessions(shop):
-    return jobs.run_append(jobs.sessions(event_stream(shop)), "sessions")
+    return jobs.run_complete(jobs.sessions(event_stream(shop)), "sessions")
 
 
 @report

@@ -1,20 +1,17 @@
 """Reading the nested entities from JSON array files or stored tables."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from souk.schemas import ENTITIES
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path or glob matches anything, on any file system Spark can reach."""
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return len(fs.globStatus(hadoop_path) or []) > 0
-
-
 def read_json_array(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
-    """Read indented JSON arrays; a lone object counts as one row. ``path`` may be a glob."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    """Read indented JSON arrays; a lone object counts as one row. ``path`` may be a glob.
+
+    A missing path or a malformed text is an error. An array is read by one task per file: large entities come as shards.
+    """
+    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
 def read_entity(spark: SparkSession, folder: str, entity: str) -> DataFrame:
@@ -24,20 +21,34 @@ def read_entity(spark: SparkSession, folder: str, entity: str) -> DataFrame:
 
 
 def load(
-    spark: SparkSession, entity: str, table_folder: str, json_folder: str, json_names: list[str] | None = None
+    spark: SparkSession,
+    entity: str,
+    table_folder: str,
+    json_folder: str,
+    json_names: list[str] | None = None,
+    missing: list[str] | None = None,
 ) -> DataFrame:
-    """Read the stored table if there is one, else the JSON files that exist.
+    """Read the stored table if there is one, else the JSON files.
 
-    Missing files are skipped; with none left the result is empty.
+    A file that is not there is an error, unless ``missing`` is given: then its path is added to that list and the others
+    are read.
     """
-    table = f"{table_folder}/{entity}"
-    if path_exists(spark, table):
-        return spark.read.parquet(table).drop("_id")
-    wanted = [f"{json_folder}/{name}" for name in json_names or [f"{entity}.json"]]
-    present = [path for path in wanted if path_exists(spark, path)]
-    if not present:
-        return spark.createDataFrame([], ENTITIES[entity])
-    return read_json_array(spark, present, ENTITIES[entity])
+    try:
+        return spark.read.parquet(f"{table_folder}/{entity}").drop("_id")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    found = None
+    for path in [f"{json_folder}/{name}" for name in json_names or [f"{entity}.json"]]:
+        try:
+            rows = read_json_array(spark, path, ENTITIES[entity])
+        except AnalysisException as error:
+            if missing is None or error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            missing.append(path)
+            continue
+        found = rows if found is None else found.unionByName(rows)
+    return spark.createDataFrame([], ENTITIES[entity]) if found is None else found
 
 
 def register_views(**tables: DataFrame) -> None:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from souk.functions.columns import ISO
+from souk.functions.columns import ISO, session_key
 from souk.functions.sessionize import session_slices, tag_events
 from souk.schemas import BROWSERS, DEVICE_TYPES, PAYMENT_METHODS, REFERRERS
 
@@ -72,11 +72,16 @@ class Warehouse:
     Page views are given per page type by :meth:`pages`.
     """
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, user: int | None = None):
         if spark.conf.get("spark.sql.session.timeZone") != "UTC":
             spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark = spark
         self.folder = folder
+        self.user = user
+
+    def of_user(self, user_id: str) -> "Warehouse":
+        """The same tables with the events of one user; the scan of the event log is filtered by its number."""
+        return Warehouse(self.spark, self.folder, int(user_id.rpartition("_")[2]))
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
@@ -91,7 +96,7 @@ class Warehouse:
     def districts(self) -> DataFrame:
         """City to province. Nations and regions are fixed lists of 25 and 5 rows."""
         nation, region = self.table("nation"), F.broadcast(self.table("region"))
-        return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).selectExpr(
+        return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left").selectExpr(
             "n_nationkey", "n_name AS city", "r_name AS province"
         )
 
@@ -103,7 +108,7 @@ class Warehouse:
         active = f"{registered} + make_dt_interval(int(30 + c_custkey % 61))"
         return (
             self.table("customer")
-            .join(F.broadcast(self.districts), F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(F.broadcast(self.districts), F.col("c_nationkey") == F.col("n_nationkey"), "left")
             .selectExpr(
                 f"{key('user', 'c_custkey', 9)} AS user_id",
                 "city",
@@ -212,7 +217,10 @@ class Warehouse:
     @cached_property
     def events(self) -> DataFrame:
         """The event log with numeric users; the product is set for the kinds that have one."""
-        return self.table("events").selectExpr(
+        events = self.table("events")
+        if self.user is not None:
+            events = events.where(F.col("user_id") == self.user)
+        return events.selectExpr(
             "event_id",
             "timestamp(ts) AS ts",
             "user_id",
@@ -314,6 +322,23 @@ class Warehouse:
             .na.fill({"viewed_products": "", "cart_size": 0})
         )
 
+    @cached_property
+    def cell_versions(self) -> DataFrame:
+        """The statistics cells as written again and again while a session goes on: up to five versions of a row key."""
+        return self.session_cells.select(
+            session_key(F.col("user_id"), F.col("started_at")).alias("row_key"),
+            "session_id",
+            F.explode(F.expr("sequence(1L, 1 + page_view_count % 5)")).alias("written"),
+            "page_view_count",
+            "cart_size",
+        ).selectExpr(
+            "row_key",
+            "session_id",
+            "written",
+            "page_view_count * written div (1 + page_view_count % 5) AS page_view_count",
+            "cart_size * written div (1 + page_view_count % 5) AS cart_size",
+        )
+
     @cached_property
     def raw_sessions(self) -> DataFrame:
         """Sessions with the faults that cleaning has to handle."""

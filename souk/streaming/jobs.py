@@ -14,30 +14,48 @@ from souk.functions.columns import iso_text, mean, money
 from souk.session import fresh_dir
 
 
-def product_view_counters(views: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Views, about how many users, and average duration per product and day.
-
-    ``views`` needs ``ts, product_id, user_id, view_duration``. Exact distinct counts would
-    need unbounded state, so users are counted by a sketch.
-    """
+def views_per_user(views: DataFrame, delay: str = "1 day") -> DataFrame:
+    """Views and seconds per product, day and user; ``views`` needs ``ts, product_id, user_id, view_duration``."""
     return (
         views.withWatermark("ts", delay)
-        .groupBy(F.window("ts", "1 day"), "product_id")
+        .groupBy(F.window("ts", "1 day"), "product_id", "user_id")
         .agg(
-            F.count("*").alias("view_count"),
-            F.approx_count_distinct("user_id").alias("users_about"),
+            F.count("*").alias("views"),
             F.sum("view_duration").alias("seconds"),
+            F.count("view_duration").alias("timed_views"),
+        )
+    )
+
+
+def view_counters(per_user: DataFrame) -> DataFrame:
+    """Views, distinct users and average duration per product and day, from the figures per user.
+
+    Users are counted exactly: each has one row per product and day. Runs on a stream in append mode, behind the
+    aggregation of :func:`views_per_user`, and on a table.
+    """
+    return (
+        per_user.groupBy("window", "product_id")
+        .agg(
+            F.sum("views").alias("view_count"),
+            F.count("user_id").alias("unique_users"),
+            F.sum("seconds").alias("seconds"),
+            F.sum("timed_views").alias("timed_views"),
         )
         .select(
             "product_id",
             iso_text(F.col("window.start")).alias("window_start"),
             "view_count",
-            "users_about",
-            mean(F.col("seconds"), F.col("view_count")).alias("avg_duration_sec"),
+            "unique_users",
+            mean(F.col("seconds"), F.col("timed_views")).alias("avg_duration_sec"),
         )
     )
 
 
+def product_view_counters(views: DataFrame, delay: str = "1 day") -> DataFrame:
+    """The counters of each day once it is over, for an endless stream in append mode."""
+    return view_counters(views_per_user(views, delay))
+
+
 def payment_windows(payments: DataFrame, length: str, slide: str | None = None, delay: str = "1 day") -> DataFrame:
     """Number and sum of payments per method and window; ``payments`` needs ``ts, payment_method, total``."""
     window = F.window("ts", length, slide) if slide else F.window("ts", length)
@@ -56,7 +74,7 @@ def payment_windows(payments: DataFrame, length: str, slide: str | None = None,
 
 
 def sessions(events: DataFrame, gap: str = "6 hours", delay: str = "1 day") -> DataFrame:
-    """Closed sessions per user; ``events`` needs ``ts, user_id``."""
+    """Sessions per user; ``events`` needs ``ts, user_id``."""
     return (
         events.withWatermark("ts", delay)
         .groupBy(F.session_window("ts", gap), "user_id")
@@ -130,6 +148,33 @@ def run_append(result: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(result.schema).parquet(f"{base}/out")
 
 
+def run_complete(
+    result: DataFrame, purpose: str, finish: Callable[[DataFrame], DataFrame] = lambda table: table
+) -> DataFrame:
+    """Run an aggregation over all available input and read it whole, open windows included.
+
+    For backfills and other input that ends: the table of all groups is written anew after each batch, by ``finish``,
+    and the last one read. A batch that is run again writes the same version again.
+    """
+    spark = result.sparkSession
+    base = fresh_dir(spark, purpose)
+    query = (
+        result.writeStream.foreachBatch(
+            lambda table, batch_id: finish(table).write.mode("overwrite").parquet(version(f"{base}/table", batch_id))
+        )
+        .outputMode("complete")
+        .option("checkpointLocation", f"{base}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    written = [p["batchId"] for p in query.recentProgress]
+    schema = finish(spark.createDataFrame([], result.schema)).schema
+    if not written:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(version(f"{base}/table", max(written)))
+
+
 def run_upsert(stream: DataFrame, key: str, order: list[str], purpose: str) -> DataFrame:
     """Run an upsert job over all available input and read its last version."""
     spark = stream.sparkSession

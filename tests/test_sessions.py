@@ -152,9 +152,12 @@ def test_last_write_wins(spark, rows):
 
 
 def test_versions(spark, rows):
-    s = shop(spark, sessions=[session(i, "u", start=f"2025-03-0{i}T00:00:00") for i in range(1, 6)])
-    got = keyed.keep_last_versions(s.sessions).select("version", "session_id")
-    assert rows(got) == [(1, "s5"), (2, "s4"), (3, "s3")]
+    cells = [("u#1", "s1", v, v, 0) for v in range(1, 6)] + [("u#2", "s2", 1, 7, 3), ("u#2", "s3", 1, 8, 4)]
+    df = spark.createDataFrame(cells, "row_key string, session_id string, written long, page_view_count long, cart_size long")
+    got = keyed.keep_last_versions(df).select("row_key", "version", "session_id", "page_view_count")
+    assert rows(got) == [
+        ("u#1", 1, "s1", 5), ("u#1", 2, "s1", 4), ("u#1", 3, "s1", 3), ("u#2", 1, "s3", 8), ("u#2", 2, "s2", 7),
+    ]
 
 
 # --- session boundaries --------------------------------------------------------------

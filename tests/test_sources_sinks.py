@@ -4,6 +4,8 @@ from pathlib import Path
 import pytest
 
 from documents import CATEGORIES, product, session, shop, transaction
+from pyspark.errors import AnalysisException
+
 from souk import schemas
 from souk.operators import flatten, keyed, revenue
 from souk.plans import nightly
@@ -53,17 +55,27 @@ def test_documents_and_views_in_sql(spark, documents):
     assert got.first()[0] == 14
 
 
-def test_load_prefers_the_table_and_skips_missing_files(spark, documents, tmp_path):
+def test_load_prefers_the_table_and_names_missing_files(spark, documents, tmp_path):
     where = (str(tmp_path / "tables"), str(documents))
     names = ["sessions_0.json", "sessions_1.json", "sessions_7.json"]
-    assert json_files.load(spark, "sessions", *where, names).count() == 4
+    missing = []
+    assert json_files.load(spark, "sessions", *where, names, missing).count() == 4
+    assert missing == [f"{documents}/sessions_7.json"]
+    with pytest.raises(AnalysisException):
+        json_files.load(spark, "sessions", *where, names)
     assert json_files.load(spark, "users", *where).count() == 1
-    assert json_files.load(spark, "products", *where, ["none.json"]).count() == 0
+    assert json_files.load(spark, "products", *where, ["none.json"], missing).count() == 0
     spark.createDataFrame([("x", "id")], "product_id string, _id string").write.parquet(f"{where[0]}/products")
     stored = json_files.load(spark, "products", *where)
     assert stored.columns == ["product_id"] and stored.count() == 1
 
 
+def test_malformed_text_is_an_error(spark, tmp_path):
+    (tmp_path / "users.json").write_text('[{"user_id": "u"')
+    with pytest.raises(Exception, match="FAILFAST|MALFORMED"):
+        json_files.read_entity(spark, str(tmp_path), "users").count()
+
+
 def test_one_object_is_one_row(spark, tmp_path):
     dump(tmp_path / "users.json", {"user_id": "u"})
     assert json_files.read_entity(spark, str(tmp_path), "users").count() == 1

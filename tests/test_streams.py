@@ -30,6 +30,25 @@ def test_view_counters_emit_closed_days(spark, folder, rows):
     assert rows(got) == [("p", "2024-01-01T00:00:00", 3, 3, 10.67), ("p", "2024-01-02T00:00:00", 1, 1, 10.0)]
 
 
+def test_complete_counters_have_the_open_days_too(spark, folder, rows):
+    views = [(DAY, "p", "u", None), (DAY, "p", "u", 10), (DAY, "p", "v", 20)]
+    batches = [views, [(DAY + timedelta(days=5), "p", "u", 1)], [(DAY + timedelta(days=5), "p", "u", None)]]
+    path = folder(batches, "ts timestamp, product_id string, user_id string, view_duration int")
+    stream = jobs.file_stream(spark, path, per_batch=1)
+    got = jobs.run_complete(jobs.views_per_user(stream), "views", jobs.view_counters)
+    assert rows(got) == [("p", "2024-01-01T00:00:00", 3, 2, 15.0), ("p", "2024-01-06T00:00:00", 2, 1, 1.0)]
+
+
+def test_complete_sessions_have_the_open_ones_too(spark, folder, rows):
+    events = [(i, DAY + timedelta(hours=h), "u") for i, h in enumerate((0, 5, 17))]
+    path = folder([events], "event_id long, ts timestamp, user_id string")
+    got = jobs.run_complete(jobs.sessions(jobs.file_stream(spark, path)), "sessions")
+    assert rows(got) == [
+        ("u", "2024-01-01T00:00:00", "2024-01-01T05:00:00", 2),
+        ("u", "2024-01-01T17:00:00", "2024-01-01T17:00:00", 1),
+    ]
+
+
 def test_rows_after_the_watermark_are_dropped(spark, folder):
     schema = "ts timestamp, product_id string, user_id string, view_duration int"
     # The watermark of a batch applies to late rows from the batch after the next.
