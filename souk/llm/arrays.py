@@ -12,6 +12,9 @@ import pyarrow as pa
 #: Bytes of text handled at once; a longer document is a slice of its own.
 SLICE_BYTES = 1 << 20
 
+#: Rows of an Arrow batch that a task turns into Python objects at once.
+PIECE_ROWS = 1024
+
 #: The white space of a word pattern [^\x20\x09-\x0D]+.
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -26,6 +29,13 @@ _BYTE_VALUES = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, 256,
 _powers: dict[str, np.ndarray] = {}
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = PIECE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``rows`` rows."""
+    for batch in batches:
+        for first in range(0, len(batch), rows):
+            yield batch.slice(first, rows)
+
+
 def text_slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, row after the last, bytes, offsets)`` of consecutive rows; a null text is empty."""
     if isinstance(texts, pa.ChunkedArray):

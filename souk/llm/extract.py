@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
+from souk.llm.arrays import pieces
+
 # Elements whose text is never shown as text, elements that break blocks, and elements that hold blocks.
 HIDDEN = "script style noscript template svg title iframe textarea select option math object canvas audio video button".split()
 BREAKING = frozenset(
@@ -261,7 +263,7 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     rest = rest.select(*names, html_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             texts = [main_text(page) if page else "" for page in batch.column(len(names)).to_pylist()]
             sizes = pa.array([len(t) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays(

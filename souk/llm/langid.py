@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from souk.llm.arrays import pieces
+
 ORDER = 3
 #: About so many bytes of text of each language are learned from, whatever the size of the input.
 SAMPLE_BYTES = 400_000
@@ -75,7 +77,7 @@ def fit(texts: dict[str, list[str]]) -> Model:
         lookup[known] = base + np.arange(len(known))
         all_rows.append(level)
         ids, rows = lookup, np.concatenate(all_rows)
-    return Model(languages, symbols, ids.astype(np.int32), rows.reshape(-1, n).astype(np.float32))
+    return Model(languages, symbols, ids.astype(np.int32), rows.reshape(rows.shape[0] * size, n).astype(np.float32))
 
 
 def _keys(stream: np.ndarray, order: int, size: int) -> np.ndarray:
@@ -141,7 +143,7 @@ def classify(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = sent.value
-        for batch in batches:
+        for batch in pieces(batches):
             texts = batch.column(at).to_pylist()
             n = len(texts)
             pred = np.full(n, UNKNOWN, object)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from souk.llm.arrays import span_hashes, text_slices, words
+from souk.llm.arrays import pieces, span_hashes, text_slices, words
 
 #: Bytes of a chunk, least and most; the gear hash at a chunk's end is below END (one in three).
 MIN_CHUNK, MAX_CHUNK, END = 16, 256, (1 << 16) // 3
@@ -143,7 +143,7 @@ def without_repeats(
     at, spans_at = names.index(text_col), names.index("_spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             held = batch.column(spans_at)
             texts, cuts, gone = batch.column(at), np.zeros(len(batch), np.int32), np.zeros(len(batch), np.int32)
             touched = np.flatnonzero(held.is_valid().to_numpy(zero_copy_only=False) & texts.is_valid().to_numpy(zero_copy_only=False))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from souk.llm.arrays import span_hashes
+from souk.llm.arrays import pieces, span_hashes
 
 #: Characters of text whose pre-tokens are counted at once, symbols merged at once, and counts kept in a task.
 TEXT_CHARS, MERGED_SYMBOLS, KEPT_COUNTS = 1 << 20, 1 << 18, 1_000_000
@@ -217,7 +217,7 @@ def token_counts(docs: DataFrame, vocabulary_path: str, text_col: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(Vocabulary(vocabulary_path))
-        for batch in batches:
+        for batch in pieces(batches):
             texts = batch.column(at).fill_null("").to_pylist()
             counts: list[int] = []
             begin = 0

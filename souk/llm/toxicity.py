@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from souk.llm.arrays import LOWER, span_hashes, text_slices, words
+from souk.llm.arrays import LOWER, pieces, span_hashes, text_slices, words
 from souk.session import materialize
 
 #: Labelled texts that lexicon and weights are learned from, at most about so many.
@@ -265,7 +265,7 @@ def one_of_copies(sample: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             least = []
             for _, _, data, offsets in text_slices(batch.column(0)):
                 starts, ends, doc = words(data, offsets)
@@ -285,7 +285,7 @@ def term_counts(sample: DataFrame) -> DataFrame:
     """``(term, stem, toxic, clean)``: texts of either label with each word and each beginning of a longer word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             toxic = batch.column(1).to_pylist()
             seen: dict[tuple[str, bool], list[int]] = {}
             for text, label in zip(batch.column(0).to_pylist(), toxic, strict=True):
@@ -330,7 +330,7 @@ def misleading(sample: DataFrame, sent) -> frozenset[int]:
     """Terms whose misspellings stand in clean texts of the sample too often."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             labels = batch.column(1).to_pylist()
             seen = {(i, term) for i, _, _, term, edits in hits(sent.value, batch.column(0).to_pylist()) if edits}
             terms = pa.array([t for _, t in seen], pa.int32())
@@ -367,7 +367,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, id_col: str, text_
     names = [f"x{k}" for k in range(FEATURES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             x = features(sent.value, batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array(x[:, k]) for k in range(FEATURES))], ["toxic", *names])
 
@@ -402,7 +402,7 @@ def score(
     at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             found = scores(sent.value, batch.column(at).fill_null("").to_pylist())
             predicted = (found >= threshold).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found), pa.array(predicted)], [*names, "score", "predicted"])
