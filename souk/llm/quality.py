@@ -132,7 +132,8 @@ def statistics() -> list[Column]:
 
 def _start(rows: DataFrame) -> DataFrame:
     """Per group the medians as centre and squared deviations from them on the diagonal."""
-    middle = rows.groupBy("g").agg(*[F.percentile(f"x{i}", 0.5).alias(f"m{i}") for i in range(P)])
+    medians = [F.percentile(f"x{i}", 0.5).alias(f"m{i}") for i in range(P)]
+    middle = materialize(rows.groupBy("g").agg(*medians), "medians")  # small: joined without a shuffle of the rows
     off = rows.join(middle, "g").groupBy("g").agg(
         *[F.percentile(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), 0.5).alias(f"d{i}") for i in range(P)]
     )
