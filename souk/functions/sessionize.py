@@ -43,15 +43,16 @@ def session_slices(events: DataFrame, gap_seconds: int, *measures: Column) -> Da
     in_order = Window.partitionBy("user_id").orderBy("bucket")
     since_previous = F.unix_micros("first.ts") - F.unix_micros(F.lag("last_ts").over(in_order))
     starts = since_previous.isNull() | (since_previous > gap_seconds * 1_000_000)
-    return slices.withColumn("starts", starts).withColumn(
-        "first_event_id",
-        F.last(F.when(F.col("starts"), F.col("first.event_id")), ignorenulls=True).over(
-            in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ),
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    opening = F.last(F.when(F.col("starts"), F.col("first")), ignorenulls=True).over(so_far)
+    return (
+        slices.withColumn("starts", starts)
+        .withColumn("opening", opening)
+        .selectExpr("* EXCEPT (opening)", "opening.event_id AS first_event_id", "opening.ts AS started_at")
     )
 
 
 def tag_events(events: DataFrame, gap_seconds: int) -> DataFrame:
-    """The events with the ``first_event_id`` of their session."""
-    sessions = session_slices(events, gap_seconds).select("user_id", "bucket", "first_event_id")
+    """The events with the ``first_event_id`` and the start of their session."""
+    sessions = session_slices(events, gap_seconds).select("user_id", "bucket", "first_event_id", "started_at")
     return with_bucket(events, gap_seconds).join(sessions, ["user_id", "bucket"]).drop("bucket")

@@ -179,7 +179,7 @@ def slim_users(users: DataFrame) -> DataFrame:
     return users.select("user_id", "city", "state", "country", "registration_date", "last_active")
 
 
-def slim_products(products: DataFrame) -> DataFrame:
+def slim_products(products: DataFrame, *more: str) -> DataFrame:
     return products.select(
         "product_id",
         "name",
@@ -188,6 +188,7 @@ def slim_products(products: DataFrame) -> DataFrame:
         F.col("base_price").cast("double").alias("base_price"),
         F.col("current_stock").cast("bigint").alias("current_stock"),
         "is_active",
+        *more,
     )
 
 

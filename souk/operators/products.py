@@ -23,10 +23,12 @@ def product_purchases(lines: DataFrame) -> DataFrame:
 
 
 def product_funnel(page_views: DataFrame, cart_quantities: DataFrame, lines: DataFrame, n: int = 20) -> DataFrame:
-    """Views, cart quantity and paid units of the most viewed products."""
+    """Views, cart quantity and paid units of the most viewed products; the limit comes before the joins."""
     views = F.col("view_count")
     return (
         product_views(page_views)
+        .orderBy(F.desc("view_count"), "product_id")
+        .limit(n)
         .join(product_cart_adds(cart_quantities), "product_id", "left")
         .join(product_purchases(lines), "product_id", "left")
         .select(
@@ -38,7 +40,6 @@ def product_funnel(page_views: DataFrame, cart_quantities: DataFrame, lines: Dat
         .withColumn("view_to_cart_pct", percent(F.col("cart_adds"), views))
         .withColumn("view_to_purchase_pct", percent(F.col("purchases"), views))
         .orderBy(F.desc("view_count"), "product_id")
-        .limit(n)
     )
 
 

@@ -17,7 +17,7 @@ def product_sums(lines: DataFrame) -> DataFrame:
 def top_products_lines(lines: DataFrame, enriched_products: DataFrame, n: int = 10) -> DataFrame:
     """Best products of completed orders, counting order lines.
 
-    The limit comes before the join, so only ``n`` rows look up their names.
+    The limit comes before the join: ``n`` rows look up their names, and the lines are read once.
     """
     top = (
         lines.where(F.col("status") == "completed")
@@ -29,10 +29,8 @@ def top_products_lines(lines: DataFrame, enriched_products: DataFrame, n: int =
     names = enriched_products.select(
         "product_id", F.col("name").alias("product_name"), F.col("category_name").alias("category")
     )
-    # At most n catalog rows match, so both broadcasts are bounded by n.
-    found = names.join(F.broadcast(top.select("product_id")), "product_id")
     return (
-        top.join(F.broadcast(found), "product_id", "left")
+        top.join(names, "product_id", "left")
         .select(
             "product_id",
             "product_name",
@@ -45,18 +43,35 @@ def top_products_lines(lines: DataFrame, enriched_products: DataFrame, n: int =
     )
 
 
-def top_products_orders(lines: DataFrame, n: int = 10) -> DataFrame:
-    """Best products of paid orders, counting distinct orders."""
+def _paid_per_order(lines: DataFrame, order: str) -> DataFrame:
+    """Paid lines summed per order and product, so that orders are counted without telling their ids apart again.
+
+    Lines that a join has already placed by ``order`` are summed where they are.
+    """
     return (
         paid(lines)
-        .groupBy("product_id")
+        .groupBy(order, "product_id")
         .agg(
             F.sum("subtotal").alias("revenue"),
-            F.sum("quantity").alias("total_units"),
-            F.count_distinct("transaction_id").alias("order_count"),
+            F.sum("quantity").alias("units"),
             F.sum("unit_price").alias("price_sum"),
             F.count("unit_price").alias("prices"),
         )
+    )
+
+
+def top_products_orders(lines: DataFrame, n: int = 10, order: str = "transaction_id") -> DataFrame:
+    """Best products of paid orders, counting distinct orders by their key ``order``."""
+    return (
+        _paid_per_order(lines, order)
+        .groupBy("product_id")
+        .agg(
+            F.sum("revenue").alias("revenue"),
+            F.sum("units").alias("total_units"),
+            F.count(order).alias("order_count"),
+            F.sum("price_sum").alias("price_sum"),
+            F.sum("prices").alias("prices"),
+        )
         .orderBy(F.desc("revenue"), "product_id")
         .limit(n)
         .select(
@@ -69,15 +84,15 @@ def top_products_orders(lines: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-def product_revenue(lines: DataFrame) -> DataFrame:
-    """All products of paid orders, best first."""
+def product_revenue(lines: DataFrame, order: str = "transaction_id") -> DataFrame:
+    """All products of paid orders, best first; distinct orders are counted by their key ``order``."""
     return (
-        paid(lines)
+        _paid_per_order(lines, order)
         .groupBy("product_id")
         .agg(
-            money(F.sum("subtotal")).alias("total_revenue"),
-            F.sum("quantity").alias("units_sold"),
-            F.count_distinct("transaction_id").alias("orders"),
+            money(F.sum("revenue")).alias("total_revenue"),
+            F.sum("units").alias("units_sold"),
+            F.count(order).alias("orders"),
         )
         .orderBy(F.desc("total_revenue"), "product_id")
     )

@@ -482,7 +482,7 @@ REPORTS = {
     "product_purchases": f"SELECT product_id, {_big('sum(quantity)')} AS purchased_qty FROM paid_l GROUP BY 1",
     "product_performance": f"""
         WITH a AS (SELECT product_id, strftime(ts, '%Y-%m-%d') AS day, count(*) AS views, count(DISTINCT user_id) AS users,
-                          {_mean("sum(view_duration)", "count(*)")} AS duration FROM v GROUP BY 1, 2),
+                          {_mean("sum(view_duration)", "count(view_duration)")} AS duration FROM v GROUP BY 1, 2),
         b AS (SELECT product_id, strftime(ts, '%Y-%m-%d') AS day, {_big("sum(quantity)")} AS units,
                      sum(subtotal) AS revenue FROM paid_l GROUP BY 1, 2),
         d AS (SELECT product_id, strftime(started_at, '%Y-%m-%d') AS day, {_big("sum(quantity)")} AS carts

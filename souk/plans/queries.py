@@ -195,12 +195,8 @@ def slim_sessions(shop):
 
 @report
 def enrich_products(shop):
-    return flatten.slim_products(shop.products).join(
-        flatten.enrich_products(shop.products, shop.categories, shop.subcategories).select(
-            "product_id", "category_name", "subcategory_name"
-        ),
-        "product_id",
-    )
+    enriched = flatten.enrich_products(shop.products, shop.categories, shop.subcategories)
+    return flatten.slim_products(enriched, "category_name", "subcategory_name")
 
 
 @report
@@ -260,12 +256,12 @@ def top_products_lines(shop):
 
 @report
 def top_products_orders(shop):
-    return revenue.top_products_orders(shop.lines)
+    return revenue.top_products_orders(shop.lines, order="o_orderkey")
 
 
 @report
 def product_revenue(shop):
-    return revenue.product_revenue(shop.lines)
+    return revenue.product_revenue(shop.lines, order="o_orderkey")
 
 
 @report
@@ -430,7 +426,7 @@ def session_funnel(shop):
 
 @report
 def product_funnel(shop):
-    return products.product_funnel(shop.pages("product_detail"), shop.cart_quantities, shop.lines)
+    return products.product_funnel(shop.pages("product_detail"), shop.cart_adds, shop.lines)
 
 
 @report
@@ -440,7 +436,7 @@ def product_views(shop):
 
 @report
 def product_cart_adds(shop):
-    return products.product_cart_adds(shop.cart_quantities)
+    return products.product_cart_adds(shop.cart_adds)
 
 
 @report
@@ -450,7 +446,7 @@ def product_purchases(shop):
 
 @report
 def product_performance(shop):
-    return products.product_performance(shop.pages("product_detail"), shop.cart, shop.lines)
+    return products.product_performance(shop.pages("product_detail"), shop.cart_days, shop.lines)
 
 
 @report

@@ -5,9 +5,9 @@ become users, and the event log is cut into sessions. Every table is derived by
 Spark from the whole input tables; a table that a report does not use is not built.
 """
 
-from functools import cached_property, lru_cache
+from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -60,10 +60,17 @@ SESSION_ID = f"{key('sess', 'first_event_id', 10)} AS session_id"
 PRODUCT_ID = f"{key('prod', 'product', 9)} AS product_id"
 
 
-@lru_cache(maxsize=1000)
-def stored_schema(spark: SparkSession, path: str) -> StructType:
-    """The schema in the files, looked up once per session and path."""
-    return spark.read.parquet(path).schema
+#: What a session's events are counted by.
+VISIT_MEASURES = {
+    "purchases": "event_type = 'purchase'",
+    "clicks": "event_type = 'click'",
+    "product_views": "event_type = 'view' AND product IS NOT NULL",
+    "cart_events": "event_type IN ('click', 'purchase') AND product IS NOT NULL",
+}
+
+
+def counted() -> list[Column]:
+    return [F.expr(f"count_if({test}) AS {name}") for name, test in VISIT_MEASURES.items()]
 
 
 class Warehouse:
@@ -78,6 +85,7 @@ class Warehouse:
         self.spark = spark
         self.folder = folder
         self.user = user
+        self.schemas: dict[str, StructType] = {}
 
     def of_user(self, user_id: str) -> "Warehouse":
         """The same tables with the events of one user; the scan of the event log is filtered by its number."""
@@ -87,8 +95,9 @@ class Warehouse:
         return f"{self.folder}/{name}.parquet"
 
     def table(self, name: str) -> DataFrame:
-        path = self.path(name)
-        return self.spark.read.schema(stored_schema(self.spark, path)).parquet(path)
+        if name not in self.schemas:
+            self.schemas[name] = self.spark.read.parquet(self.path(name)).schema
+        return self.spark.read.schema(self.schemas[name]).parquet(self.path(name))
 
     # --- users and products -------------------------------------------------
 
@@ -188,6 +197,7 @@ class Warehouse:
             self.table("lineitem")
             .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
             .selectExpr(
+                "o_orderkey",
                 *ORDER_COLUMNS,
                 "bigint(l_linenumber) AS line_number",
                 f"{key('prod', 'l_partkey', 9)} AS product_id",
@@ -242,21 +252,19 @@ class Warehouse:
     @cached_property
     def _visits(self) -> DataFrame:
         """One row per session of the event log, with its raw measures."""
-        measures = {
-            "purchases": "event_type = 'purchase'",
-            "clicks": "event_type = 'click'",
-            "product_views": "event_type = 'view' AND product IS NOT NULL",
-            "cart_events": "event_type IN ('click', 'purchase') AND product IS NOT NULL",
-        }
-        slices = session_slices(
-            self.events, SESSION_GAP_SECONDS, *[F.expr(f"count_if({test}) AS {name}") for name, test in measures.items()]
-        )
-        visits = slices.groupBy("user_id", "first_event_id").agg(
-            F.min("first.ts").alias("started_at"),
+        slices = session_slices(self.events, SESSION_GAP_SECONDS, *counted())
+        return self._visit_rows(slices)
+
+    def _visit_rows(self, parts: DataFrame, *cells: Column) -> DataFrame:
+        """Sessions from the parts that their events are counted in; ``cells`` are further aggregates."""
+        visits = parts.groupBy("user_id", "first_event_id").agg(
+            F.min("started_at").alias("started_at"),
             F.max("last_ts").alias("ended_at"),
             F.sum("event_count").alias("page_view_count"),
-            *[F.sum(name).alias(name) for name in measures],
+            *[F.sum(name).alias(name) for name in VISIT_MEASURES],
+            *cells,
         )
+        more = visits.columns[5 + len(VISIT_MEASURES) :]
         return visits.selectExpr(
             "first_event_id",
             SESSION_ID,
@@ -273,6 +281,7 @@ class Warehouse:
             "page_view_count",
             "product_views > 0 AS has_viewed_product",
             "cart_events > 0 AS has_cart",
+            *more,
         )
 
     @cached_property
@@ -290,37 +299,61 @@ class Warehouse:
         return self._product_events.where("event_type = 'view'").selectExpr(SESSION_ID, PRODUCT_ID)
 
     @cached_property
-    def cart_quantities(self) -> DataFrame:
+    def cart_adds(self) -> DataFrame:
+        """Cart quantities per product over all sessions; sessions need not be told apart for them."""
+        return (
+            self.events.where("event_type IN ('click', 'purchase') AND product IS NOT NULL")
+            .where("user_id IS NOT NULL AND ts IS NOT NULL")
+            .groupBy("product")
+            .agg(F.count("*").alias("quantity"))
+            .selectExpr(PRODUCT_ID, "quantity")
+        )
+
+    @cached_property
+    def cart_days(self) -> DataFrame:
+        """Cart quantities per product and day on which the session began."""
         return (
             self._product_events.where("event_type IN ('click', 'purchase')")
-            .groupBy("first_event_id", "product")
+            .groupBy("product", F.to_date("started_at").alias("day"))
             .agg(F.count("*").alias("quantity"))
-            .selectExpr(SESSION_ID, PRODUCT_ID, "quantity")
+            .selectExpr(PRODUCT_ID, "timestamp(day) AS started_at", "quantity")
         )
 
     @cached_property
     def cart(self) -> DataFrame:
         price = self.products.selectExpr("product_id", "base_price AS price")
-        owner = self._visits.select("session_id", "user_id", "started_at", "ended_at", "conversion_status")
-        return self.cart_quantities.join(owner, "session_id").join(price, "product_id", "left")
+        owner = self._visits.select("first_event_id", "session_id", "user_id", "started_at", "ended_at", "conversion_status")
+        return (
+            self._product_events.where("event_type IN ('click', 'purchase')")
+            .groupBy("first_event_id", "product")
+            .agg(F.count("*").alias("quantity"))
+            .join(owner, "first_event_id")
+            .selectExpr("* EXCEPT (first_event_id, product)", PRODUCT_ID)
+            .join(price, "product_id", "left")
+        )
 
     @cached_property
     def session_cells(self) -> DataFrame:
         """Sessions with the cells that list or count products, and the user's place."""
-        # Distinct first: a cell holds each product once, however often it was viewed.
-        viewed = (
-            self.viewed.distinct()
-            .groupBy("session_id")
-            .agg(F.expr("concat_ws(',', array_sort(collect_list(product_id))) AS viewed_products"))
+        # Per product first: a cell holds each product once, however often it was viewed.
+        per_product = (
+            tag_events(self.events, SESSION_GAP_SECONDS)
+            .groupBy("user_id", "first_event_id", "product")
+            .agg(
+                F.min("started_at").alias("started_at"),
+                F.max("ts").alias("last_ts"),
+                F.count("*").alias("event_count"),
+                *counted(),
+            )
+            .selectExpr("*", PRODUCT_ID)
         )
-        cart = self.cart_quantities.groupBy("session_id").agg(F.count("*").alias("cart_size"))
+        sessions = self._visit_rows(
+            per_product,
+            F.expr("concat_ws(',', array_sort(collect_list(product_id) FILTER (WHERE product_views > 0))) AS viewed_products"),
+            F.expr("count_if(cart_events > 0) AS cart_size"),
+        ).selectExpr("* EXCEPT (first_event_id)", f"{iso('started_at')} AS start_time", f"{iso('ended_at')} AS end_time")
         places = self.users.select("user_id", "city", "state")
-        return (
-            self.sessions.join(viewed, "session_id", "left")
-            .join(cart, "session_id", "left")
-            .join(places, "user_id", "left")
-            .na.fill({"viewed_products": "", "cart_size": 0})
-        )
+        return sessions.join(places, "user_id", "left")
 
     @cached_property
     def cell_versions(self) -> DataFrame:

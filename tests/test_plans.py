@@ -50,3 +50,36 @@ def test_products_join_sums_not_lines(spark):
     text = plan(spark, "category_revenue")
     catalog_join = text.index("p_partkey")
     assert text.index("partial_sum") < catalog_join
+
+
+SCANS = {
+    ("session_keyed_table", "events"): 2,
+    ("export_sessions", "events"): 2,
+    ("product_performance", "events"): 3,
+    ("product_performance", "part"): 0,
+    ("product_cart_adds", "events"): 1,
+    ("product_funnel", "events"): 2,
+    ("top_products_lines", "lineitem"): 1,
+    ("top_products_orders", "lineitem"): 1,
+}
+
+
+@pytest.mark.parametrize("name, table", SCANS)
+def test_tables_are_scanned_no_more_often_than_needed(spark, name, table):
+    scans = [line for line in plan(spark, name).splitlines() if "FileScan" in line and f"{table}.parquet" in line]
+    assert len(scans) == SCANS[name, table]
+
+
+@pytest.mark.parametrize("name", ["top_products_orders", "product_revenue"])
+def test_orders_are_counted_where_the_join_placed_them(spark, name):
+    """Lines, orders and products are exchanged once each, and the best rows once if all are sorted."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(spark, name)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning") == 3
+
+
+def test_sessions_are_cut_without_sorting_events(spark):
+    assert "SortAggregate" not in plan(spark, "sessionize_events")
