@@ -1,6 +1,8 @@
 """The nightly batch: load, clean, analyze and export the nested documents."""
 
-from pyspark.sql import SparkSession
+from dataclasses import fields
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from souk.operators import baskets, customers, flatten, keyed, products, quality, revenue, sessions
@@ -24,12 +26,23 @@ def load_tables(spark: SparkSession, json_folder: str, table_folder: str) -> Non
 
 
 def clean_shop(spark: SparkSession, table_folder: str) -> Shop:
-    """The flat tables over cleaned transactions and sessions."""
+    """The flat tables over cleaned transactions and sessions, written once and read back for all analyses and exports.
+
+    The rows kept and the rows rejected by reason are stored as the tables ``transaction_report`` and ``session_report``.
+    """
     stored = {entity: spark.read.parquet(f"{table_folder}/{entity}") for entity in ENTITIES}
     visits = stored["sessions"].withColumn("page_view_count", F.size("page_views"))
+    tables.replace_table(quality.transaction_report(stored["transactions"]), table_folder, "transaction_report")
+    tables.replace_table(quality.session_report(visits), table_folder, "session_report")
     stored["sessions"] = quality.clean_sessions(visits).drop("page_view_count")
     stored["transactions"] = quality.clean_transactions(stored["transactions"])
-    return from_documents(**stored)
+    flat = from_documents(**stored)
+
+    def written(name: str) -> DataFrame:
+        table = getattr(flat, name)
+        return spark.read.schema(table.schema).parquet(tables.replace_table(table, f"{table_folder}/clean", name))
+
+    return Shop(**{f.name: written(f.name) for f in fields(Shop)})
 
 
 def analyze(shop: Shop, out: str) -> None:

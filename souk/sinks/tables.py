@@ -6,6 +6,10 @@ from pyspark.sql import functions as F
 from souk.operators.quality import require_unique
 
 
+#: Rows that one writing task puts into a folder, about.
+ROWS_PER_FILE = 1_000_000
+
+
 def replace_table(df: DataFrame, folder: str, name: str, unique: tuple[str, ...] = ()) -> str:
     """Write a table anew, whatever was there; refuses repeated keys if asked to."""
     path = f"{folder}/{name}"
@@ -14,15 +18,23 @@ def replace_table(df: DataFrame, folder: str, name: str, unique: tuple[str, ...]
     return path
 
 
+def _spread(df: DataFrame, folders: list[str], by: list[str]) -> DataFrame:
+    """Rows of a folder meet in few tasks: one for each ``ROWS_PER_FILE`` of its rows, told apart by the columns ``by``."""
+    keys = [F.col(c).alias(f"_{c}") for c in folders]
+    writers = df.groupBy(*keys).agg(F.ceil(F.count("*") / ROWS_PER_FILE).alias("_writers"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in folders]
+    salted = df.join(writers, same).withColumn("_part", F.pmod(F.xxhash64(*by), "_writers"))
+    return salted.repartition(*folders, "_part").select(*df.columns)
+
+
 def write_by_month(transactions: DataFrame, path: str) -> None:
     """Transactions in one folder per month, sorted by user and newest first within files.
 
-    Month filters skip folders, user filters skip row groups. The user is part of the
-    distribution so that a busy month is written by many tasks.
+    Month filters skip folders, user filters skip row groups. A month is written by as many
+    tasks as its rows ask for, each with users of its own.
     """
     (
-        transactions.withColumn("order_month", F.date_format("ts", "yyyy-MM"))
-        .repartition("order_month", F.pmod(F.xxhash64("user_id"), F.lit(64)))
+        _spread(transactions.withColumn("order_month", F.date_format("ts", "yyyy-MM")), ["order_month"], ["user_id"])
         .sortWithinPartitions("order_month", "user_id", F.desc("ts"))
         .write.mode("overwrite")
         .partitionBy("order_month")
@@ -31,8 +43,12 @@ def write_by_month(transactions: DataFrame, path: str) -> None:
 
 
 def write_partitioned(df: DataFrame, path: str, *columns: str) -> None:
-    """One folder per value; each writing task adds its own file to a folder."""
-    df.write.mode("overwrite").partitionBy(*columns).parquet(path)
+    """One folder per value, with as many files as its rows ask for.
+
+    Rows that agree in all columns but maps share a file.
+    """
+    by = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    _spread(df, list(columns), by).write.mode("overwrite").partitionBy(*columns).parquet(path)
 
 
 def write_keyed(keyed: DataFrame, path: str, files: int | None = None) -> None:

@@ -136,6 +136,7 @@ def test_partitioned_and_sharded_output(spark, tmp_path):
     df = spark.createDataFrame([(i, "Kigali" if i % 2 else "Western") for i in range(40)], "id int, province string")
     tables.write_partitioned(df, f"{tmp_path}/p", "province")
     assert len(list((tmp_path / "p").glob("province=*"))) == 2
+    assert len(list((tmp_path / "p").glob("province=*/part-*"))) == 2
     tables.write_json_shards(df, f"{tmp_path}/j", 4)
     assert len(list((tmp_path / "j").glob("part-*"))) == 4
     assert spark.read.json(f"{tmp_path}/j").count() == 40
@@ -175,3 +176,17 @@ def test_nightly_batch(spark, documents, tmp_path):
     assert spark.read.parquet(f"{out}/tables/products").first().category_name == "Fresh Produce"
     assert spark.read.parquet(f"{out}/results/clv").first().total_spend == 7.0
     assert spark.read.parquet(f"{out}/results/user_sessions").count() == 1
+    kept = {r.reason: r.row_count for r in spark.read.parquet(f"{out}/tables/session_report").collect()}
+    assert sum(kept.values()) == 4 and spark.read.parquet(f"{out}/tables/clean/sessions").count() == kept["kept"]
+
+
+def test_a_large_folder_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "ROWS_PER_FILE", 10)
+    df = spark.createDataFrame([(i, "Kigali" if i % 10 else None, {"k": i}) for i in range(100)], "id int, province string, m map<string,int>")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else tasks of so few rows are put together
+    try:
+        tables.write_partitioned(df, f"{tmp_path}/p", "province")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spark.read.parquet(f"{tmp_path}/p").count() == 100
+    assert 1 < len(list((tmp_path / "p").glob("province=Kigali/part-*"))) <= 9
