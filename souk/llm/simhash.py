@@ -170,6 +170,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its group, with all their columns."""
-    firsts = near_duplicates(docs, id_col, text_col).where("doc_id = component_id")
-    return docs.join(firsts.select(F.col("doc_id").alias(id_col)).distinct(), id_col, "left_semi")
+    """One row of each group of near-duplicates with all its columns: that of the smallest id.
+
+    A null id comes after all others, so that a row without an id stays if no row with one is in its group. Of rows with the
+    same id in a group, repeated ones too, one stays. Null and blank texts are one group.
+    """
+    rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered-rows")
+    ids = rows.select("_row", F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("_row").alias("row")).alias("rank"))
+    groups = near_duplicates(rows, "_row", text_col).select(F.col("doc_id").alias("_row"), "component_id")
+    kept = groups.join(ids, "_row").groupBy("component_id").agg(F.min("rank").alias("rank"))
+    return rows.join(kept.select(F.col("rank.row").alias("_row")), "_row", "left_semi").select(*docs.columns)

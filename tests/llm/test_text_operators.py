@@ -75,6 +75,19 @@ def test_simhash_is_that_of_all_pairs(docs, texts, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize("way", [simhash])
+def test_one_row_of_each_group_stays(spark, way):
+    """Rows without an id are no losers by default, and rows repeated under one id stay once."""
+    a, b, c, d = (prose(f"kept{k}", 90) for k in range(4))
+    rows = [(None, a), (None, b), (5, b), (None, c), (None, c), (7, d), (7, d), (8, d), (9, ""), (10, None)]
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, w int").repartition(3)
+    kept = way.one_of_each_group(df)
+    assert kept.columns == df.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([(None, a), (5, b), (None, c), (7, d), (9, "")], key=str)
+    assert way.one_of_each_group(df.limit(0)).count() == 0
+
+
 def test_links_of_a_dense_group_reach_all(spark):
     r = random.Random(5)
     center = r.getrandbits(63)
