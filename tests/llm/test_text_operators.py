@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from compare import differences
-from souk.llm import decontaminate, extract, langid, mixing, oracle, pitman_yor, quality, queries, simhash, substrings, tokens, toxicity
+from souk.llm import decontaminate, extract, jaccard, langid, mixing, oracle, pitman_yor, quality, queries, simhash, substrings, tokens, toxicity
 
 SMALL = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, score double, w long"  # two names that operators use
@@ -75,7 +75,7 @@ def test_simhash_is_that_of_all_pairs(docs, texts, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
-@pytest.mark.parametrize("way", [simhash])
+@pytest.mark.parametrize("way", [simhash, jaccard])
 def test_one_row_of_each_group_stays(spark, way):
     """Rows without an id are no losers by default, and rows repeated under one id stay once."""
     a, b, c, d = (prose(f"kept{k}", 90) for k in range(4))
@@ -106,6 +106,38 @@ def test_links_of_a_dense_group_reach_all(spark):
         assert all((groups[center] == groups.get(v, v)) == (v in groups and groups[v] == groups[center]) for v in values)
 
 
+def test_similar_texts_are_those_of_all_pairs(spark):
+    r = random.Random(8)
+    texts = []
+    for k in range(12):
+        base = prose(f"near{k}", 150).split()
+        texts.append(" ".join(base))
+        for _ in range(8):
+            w = list(base)
+            for at in r.sample(range(len(w)), r.randrange(8)):
+                w[at] = "changed" + str(r.random())[2:]
+            texts.append((" \n" if r.random() < 0.3 else " ").join(w).title())
+    shingles = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(plain_words, texts)]
+    reach = list(range(len(texts)))
+    links = [(a, b) for a in reach for b in range(a) if 5 * len(shingles[a] & shingles[b]) >= 4 * len(shingles[a] | shingles[b])]
+    for _ in texts:
+        for a, b in links:
+            reach[a] = reach[b] = min(reach[a], reach[b])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert {x.doc_id for x in jaccard.one_of_each_group(df).collect()} == set(reach)
+    # more than three bits of the other fingerprint, and similar all the same
+    assert any((plain_fingerprint(texts[a]) ^ plain_fingerprint(texts[b])).bit_count() > 3 for a, b in links)
+
+
+def test_blocks_of_a_band_reach_all(spark):
+    base = prose("blocks", 200)
+    df = spark.createDataFrame([(k, f"{base} end{k}") for k in range(60)], "row long, text string")
+    found = jaccard.sketches(df.select("row", F.col("row").alias("id"), "text")).select("key", "row", "bands")
+    for block in (7, 4096):
+        got = {x.component for x in jaccard.components(jaccard.links(found, df, block)).collect()}
+        assert len(got) == 1
+
+
 def test_components_of_a_long_path(spark):
     path = [(i, i + 1) for i in range(30)] + [(100, 101), (101, 100), (7, 7)]
     found = {r.node: r.component for r in simhash.components(spark.createDataFrame(path, "a long, b long")).collect()}
