@@ -319,6 +319,28 @@ def test_pitman_yor_is_a_distribution_and_base_is_plain(spark, docs, texts, empt
     assert pitman_yor.score(empty, F.lit(True)).count() == 0
 
 
+def test_sweeps_use_the_totals_of_the_sweep_before(spark, docs):
+    import numpy as np
+    import pyarrow as pa
+
+    texts = docs.select("text")
+    n, v = pitman_yor.word_counts(texts).groupBy().agg(F.sum("n"), F.count("*")).first()
+    restaurants = pitman_yor.pair_counts(texts, spark.sparkContext.broadcast(np.zeros(0, np.uint64))).localCheckpoint()
+    totals = pitman_yor.all_totals(restaurants, n, 1 / (v + 1))
+    rows = restaurants.collect()
+    kind = pa.list_(pa.struct([("u", pa.int16()), ("n", pa.int64())]))
+    pairs = pa.array([[{"u": p.u, "n": p.n} for p in r.pairs] for r in rows], kind)
+    plain = pitman_yor.Words(pa.RecordBatch.from_arrays([pa.array([r.w for r in rows]), pairs], ["w", "pairs"]), 1 / (v + 1))
+    plain.first(n)
+    for turn, (tables, root) in enumerate(totals):
+        assert (tables == np.bincount(plain.u, plain.t, pitman_yor.CONTEXTS)).all() and root == plain.s.sum()
+        plain.sweep(tables, root, turn + 1)
+    assert len(totals) == pitman_yor.BURN_IN + pitman_yor.KEPT and any((t != totals[0][0]).any() for t, _ in totals[1:])
+    # the sums handed on are those of the kept sweeps, the last one included
+    last = pitman_yor.seated(restaurants, n, 1 / (v + 1), totals).where(f"w is null and n = {pitman_yor.KEPT - 1}").collect()
+    assert sum(r.a[0] for r in last) == plain.s.sum()
+
+
 def test_seating_stays_within_customers():
     import numpy as np
 
