@@ -23,9 +23,10 @@ UNITS = (
     "liters liter litres litre hours hour h minutes minute min seconds second s days day d weeks week months month years year "
     "dollars dollar euros euro cents cent percent degrees degree mph watts watt volts volt".split()
 )
-#: A number with its unit. A name is one or more capitalized words within a sentence.
-NUMBER = rf"(\d+(?:[.,]\d+)*)(?:\s*({'|'.join(UNITS)})\b)?"
-CAPITALS = r"([^.!?:\s][ \t])(\p{Lu}\p{Ll}\p{L}*(?:[ \t]\p{Lu}\p{Ll}\p{L}*)*)"
+#: A number with its unit. A name is one or more capitalized words within a sentence. Repetitions are possessive (``*+``):
+#: nothing after them needs backtracking, and the matcher then walks long lists without recursion.
+NUMBER = rf"(\d+(?:[.,]\d+)*+)(?:\s*({'|'.join(UNITS)})\b)?"
+CAPITALS = r"([^.!?:\s][ \t])(\p{Lu}\p{Ll}\p{L}*(?:[ \t]\p{Lu}\p{Ll}\p{L}*)*+)"
 BETWEEN = rf"[^\p{{L}}\p{{M}}{NUM}-{NAME}]+"
 TOKEN = rf"[{NUM}-{NAME}][^{END}]*{END}|[\p{{L}}\p{{M}}]+"
 

@@ -54,8 +54,9 @@ def source_mix() -> str:
 
 def _template(table: str, key: str) -> str:
     d = decontaminate
-    named = rf"regexp_replace(coalesce(text, ''), '{d.CAPITALS}', '\1 {d.NAME}\2{d.END} ', 'g')"
-    typed = rf"lower(regexp_replace({named}, '{d.NUMBER}', ' {d.NUM}\1{d.END} {d.UNIT}\2{d.END} ', 'g'))"
+    capitals, number = (p.replace("*+", "*") for p in (d.CAPITALS, d.NUMBER))  # DuckDB's matcher never recurs
+    named = rf"regexp_replace(coalesce(text, ''), '{capitals}', '\1 {d.NAME}\2{d.END} ', 'g')"
+    typed = rf"lower(regexp_replace({named}, '{number}', ' {d.NUM}\1{d.END} {d.UNIT}\2{d.END} ', 'g'))"
     return f"SELECT {key}, regexp_extract_all({typed}, '{d.TOKEN}') AS v FROM (SELECT DISTINCT {key}, text FROM {table})"
 
 

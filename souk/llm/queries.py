@@ -10,7 +10,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souk.llm import decontaminate, extract, langid, mixing, pitman_yor, quality, simhash, substrings, tokens, toxicity
+from souk.llm import (
+    conversations,
+    decontaminate,
+    extract,
+    langid,
+    mixing,
+    pitman_yor,
+    quality,
+    runs,
+    simhash,
+    substrings,
+    token_files,
+    tokens,
+    toxicity,
+)
 
 #: Sources of each domain; the rest are of the last one. The table has no domain of its own.
 DOMAINS = {
@@ -23,6 +37,8 @@ OTHER_DOMAIN = "other"
 WEIGHTS = [{"web": 4, "books": 3, "reference": 2}, {"en": 5, "de": 2, "fr": 2, "es": 2}, {}]
 #: Budget as a share of the corpus, passes at most, and the seed of their orders.
 BUDGET, MAX_EPOCHS, SEED = 1.0, 4, 42
+#: The id that ends each document in files of token ids.
+END_ID = 1
 
 
 def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
@@ -111,6 +127,43 @@ def op10_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_elias_fano_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_files.stored(docs, public_tokenizers.path("word_bpe_49k.json"), END_ID)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    made = docs.select("doc_id", runs.periodic(F.col("doc_id"), F.col("text")).alias("text"))
+    found = runs.with_runs(made)
+    # by exact length / period, then the earlier and the shorter
+    more = F.array_sort(
+        "runs",
+        lambda a, b: F.coalesce(
+            F.nullif(F.signum(b["length"] * a["period"] - a["length"] * b["period"]).cast("int"), F.lit(0)),
+            F.nullif(F.signum(a["start"] - b["start"]).cast("int"), F.lit(0)),
+            F.signum(a["period"] - b["period"]).cast("int"),
+        ),
+    )
+    line = lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))
+    best = found.withColumn("best", F.get(more, F.lit(0)))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    repaired = conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")))
+    return repaired.withColumnRenamed("conv", "conv_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: shipped(f)
@@ -125,5 +178,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_token_counts,
             op9_source_mix,
             op10_pitman_yor_scores,
+            op11_elias_fano_tokens,
+            op12_periodic_runs,
+            op13_conversation_repair,
         )
     }

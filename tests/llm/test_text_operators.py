@@ -280,6 +280,16 @@ def test_reparameterised_questions_are_found(spark):
     assert decontaminate.leaks(d.limit(0), q).count() == 0 and decontaminate.leaks(d, q.limit(0)).count() == 0
 
 
+def test_long_lists_of_names_and_numbers_end(spark):
+    lists = [(1, "a " + "Anna " * 200_000), (2, "1," * 200_000 + "1"), (3, "x 5 km " * 50_000)]
+    docs = spark.createDataFrame(lists, "doc_id long, text string")
+    n = decontaminate
+    got = docs.select("doc_id", n.template(docs.text).alias("t"), F.size(n.valued(docs.text)).alias("v")).collect()
+    assert {r.doc_id: (len(r.t), r.v) for r in got} == {1: (2, 2), 2: (2, 2), 3: (150_000, 150_000)}
+    item = spark.createDataFrame([(7, "x 5 km x 5 km x 5 km")], "item_id long, text string")
+    assert [r.doc_id for r in decontaminate.leaks(docs, item).collect()] == [3]
+
+
 def test_quality_of_odd_rows(docs, texts, empty):
     got = {r.doc_id: r for r in quality.rated(docs).collect()}
     for i, t in texts:
