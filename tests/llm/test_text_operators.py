@@ -286,8 +286,6 @@ def test_long_lists_of_names_and_numbers_end(spark):
     n = decontaminate
     got = docs.select("doc_id", n.template(docs.text).alias("t"), F.size(n.valued(docs.text)).alias("v")).collect()
     assert {r.doc_id: (len(r.t), r.v) for r in got} == {1: (2, 2), 2: (2, 2), 3: (150_000, 150_000)}
-    item = spark.createDataFrame([(7, "x 5 km x 5 km x 5 km")], "item_id long, text string")
-    assert [r.doc_id for r in decontaminate.leaks(docs, item).collect()] == [3]
 
 
 def test_quality_of_odd_rows(docs, texts, empty):
