@@ -9,7 +9,9 @@ Words between ASCII white space are encoded by the tokenizer library, each disti
 pattern never matches white space and normalisation does not reach across it, so the ids of a text are those of its words.
 """
 
+import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 
 from souk.llm.arrays import pieces
 from souk.llm.elias_fano import EliasFano, encode
+from souk.llm.tokens import byte_symbols
 from souk.session import fresh_dir, materialize
 
 #: Tokens of a file, but for a longer document.
@@ -37,32 +40,82 @@ _HEAD = struct.Struct("<8sIIQQq")  # magic, bytes of a token, documents without
 FILES = "file long, path string, n_docs long, n_tokens long"
 
 
+# The steps in front of the merges of a lower-casing byte-level BPE with word ends.
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+WORD_END = "</w>"
+#: Words that these steps only put into lower case, and part from a last mark: letters of Latin-1 that have one lower case.
+SIMPLE = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+[.,;:!?]?")
+#: Simple words of one text that goes to the library.
+JOINED = 256
+
+
 class Encoder:
-    """Packed token ids of texts, with the ids of words seen before kept up to a bound."""
+    """Packed token ids of texts, with the ids of words seen before kept up to a bound.
+
+    The library's merges are most of its work for words of letters, its normalisation and splitting for the others. Simple words go
+    as many at once to its merges alone, if the tokenizer is of the kind they are simple for; all others through every step.
+    """
 
     def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(tokenizer)
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.kept: dict[bytes, bytes] = {}
         self.kept_bytes = 0
+        with open(tokenizer, encoding="utf-8") as file:
+            spec = json.load(file)
+        steps = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", ())]
+        splits = [p.get("pattern") for p in (spec["pre_tokenizer"] or {}).get("pretokenizers", ())]
+        self.merges = None
+        if steps == NORMALIZERS and splits == [{"Regex": PATTERN}, None] and spec["model"].get("end_of_word_suffix") == WORD_END:
+            self.merges = Tokenizer(self.library.model)
+            self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            self.ends = np.zeros(self.library.get_vocab_size(), bool)
+            self.ends[[i for token, i in spec["model"]["vocab"].items() if token.endswith(WORD_END)]] = True
+            shown = byte_symbols()
+            self.shown = {c: "".join(shown[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
+
+    def _simple(self, words: list[str]) -> list[bytes]:
+        parted = [w if w[-1].isalpha() else f"{w[:-1]} {w[-1]}" for w in words]
+        parted = [p.lower() if p.isascii() else p.lower().translate(self.shown) for p in parted]
+        joined = [" ".join(parted[k : k + JOINED]) for k in range(0, len(parted), JOINED)]
+        ids = np.concatenate([np.array(t.ids, f"<u{self.width}") for t in self.merges.encode_batch_fast(joined, add_special_tokens=False)])
+        stops = np.flatnonzero(self.ends[ids]) + 1  # of words and of marks
+        last = np.cumsum([1 + (" " in p) for p in parted]) - 1
+        if len(stops) != last[-1] + 1:
+            raise ValueError("the tokenizer does not end every word")
+        bounds = [0, *(stops[last] * self.width).tolist()]
+        packed = ids.tobytes()
+        return [packed[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+
+    def _any(self, words: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(t.ids, f"<u{self.width}").tobytes() for t in found]
+
+    def _keep(self, words: list[bytes]) -> None:
+        texts = [w.decode() for w in words]
+        fits = [self.merges is not None and SIMPLE.fullmatch(t) is not None for t in texts]
+        for which, encode_words in ((True, self._simple), (False, self._any)):
+            some = [k for k, fit in enumerate(fits) if fit == which]
+            packed = encode_words([texts[k] for k in some]) if some else []
+            self.kept.update(zip((words[k] for k in some), packed, strict=True))
+            self.kept_bytes += sum(map(len, packed))
+        self.kept_bytes += sum(map(len, words))
 
     def texts(self, texts: list[bytes]) -> list[bytes]:
         split = [text.split() for text in texts]
         if len(self.kept) > KEPT_WORDS or self.kept_bytes > KEPT_BYTES:
             self.kept, self.kept_bytes = {}, 0
-        kept = self.kept
-        new = list({word for words in split for word in words} - kept.keys())
+        seen: set[bytes] = set()
+        seen.update(*split)
+        new = list(seen.difference(self.kept))
         for first in range(0, len(new), SENT_WORDS):
-            some = new[first : first + SENT_WORDS]
-            found = self.library.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            for word, tokens in zip(some, found, strict=True):
-                packed = np.array(tokens.ids, f"<u{self.width}").tobytes()
-                kept[word] = packed
-                self.kept_bytes += len(word) + len(packed)
-        return [b"".join([kept[word] for word in words]) for words in split]
+            self._keep(new[first : first + SENT_WORDS])
+        find = self.kept.__getitem__
+        return [b"".join(map(find, words)) for words in split]
 
 
 def file_bytes(doc_ids: list[int | None], tokens: list[bytes], width: int) -> bytes:

@@ -77,12 +77,19 @@ def test_words_have_the_tokens_of_their_text():
     library, encoder = Tokenizer.from_file(WORD_BPE), token_files.Encoder(WORD_BPE)
 
     @settings(deadline=None, max_examples=300)
-    @given(st.lists(st.text(max_size=30), max_size=6).map(" ".join))
+    @given(st.lists(st.text(max_size=30) | st.text(st.characters(max_codepoint=255), max_size=30), max_size=6).map(" ".join))
     def same(text):
         got = np.frombuffer(encoder.texts([text.encode()])[0], "<u2").tolist()
         assert got == library.encode(text, add_special_tokens=False).ids
 
     same()
+    assert encoder.merges is not None
+    for text in ("Étion dans, ÇOUELLE ß ÿ. un; x! Ÿ? a,b a.. .a µ ª º × don't", "".join(map(chr, range(33, 0x250)))):
+        for word in [text, *text.split(), *text]:
+            got = np.frombuffer(encoder.texts([word.encode()])[0], "<u2").tolist()
+            assert got == library.encode(word, add_special_tokens=False).ids
+    bytes_only = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    assert bytes_only.merges is None
 
 
 def test_a_file_is_read_without_its_other_documents(tmp_path):
