@@ -280,8 +280,8 @@ REPORTS = {
     ),
     # flatten and enrich
     "export_users": f"""
-        SELECT user_id, city, state AS province, country, strftime(reg, {ISO}) AS registration_date,
-               strftime(act, {ISO}) AS last_active, coalesce(n, 0) AS total_orders,
+        SELECT user_id, coalesce(city, '') AS city, coalesce(state, '') AS province, country,
+               strftime(reg, {ISO}) AS registration_date, strftime(act, {ISO}) AS last_active, coalesce(n, 0) AS total_orders,
                coalesce({_money("spend")}, 0.0) AS total_spent_rwf, coalesce({_mean("spend", "n")}, 0.0) AS avg_order_rwf
         FROM u LEFT JOIN os USING (user_id)""",
     "export_products": """

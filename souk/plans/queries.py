@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from souk.functions.columns import iso_text, paid
 from souk.operators import baskets, customers, flatten, keyed, products, quality, revenue, sessions
-from souk.sources.warehouse import PAYMENT_METHOD, Warehouse, key
+from souk.sources.warehouse import PAYMENT_METHOD, SESSION_GAP_SECONDS, Warehouse, key
 from souk.streaming import jobs
 
 Report = Callable[[Warehouse], DataFrame]
@@ -486,7 +486,8 @@ def stream_product_views(shop):
         "floor(value) AS view_duration",
         f"{key('prod', "get_json_object(props, '$.k')", 9)} AS product_id",
     ).where("event_type = 'view' AND product_id IS NOT NULL")
-    return jobs.run_complete(jobs.views_per_user(views), "views", jobs.view_counters)
+    stored, _ = jobs.run_update(jobs.views_per_user(views), ["product_id", "user_id"], "views")
+    return jobs.view_counters(stored)
 
 
 @report
@@ -499,14 +500,14 @@ def stream_payment_windows(shop):
         f"{PAYMENT_METHOD} AS payment_method",
         "CAST(o_totalprice AS DECIMAL(18,2)) AS total",
     )
-    tumbling = jobs.run_complete(jobs.payment_windows(payments, "1 day"), "payments")
-    sliding = jobs.run_complete(jobs.payment_windows(payments, "7 days", "1 day"), "payments")
-    return tumbling.unionByName(sliding)
+    daily, _ = jobs.run_update(jobs.daily_payments(payments), ["payment_method"], "payments", folders="yyyy-MM")
+    return jobs.windows_of_days(daily, 1, "tumbling").unionByName(jobs.windows_of_days(daily, 7, "sliding"))
 
 
 @report
 def stream_sessions(shop):
-    return jobs.run_complete(jobs.sessions(event_stream(shop)), "sessions")
+    slices, _ = jobs.run_update(jobs.activity(event_stream(shop), SESSION_GAP_SECONDS), ["user_id"], "sessions")
+    return jobs.sessions_of_activity(slices, SESSION_GAP_SECONDS)
 
 
 @report

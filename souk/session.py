@@ -43,6 +43,22 @@ def fresh_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/souk/{purpose}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, place = _file_system(spark, path)
+    return system.exists(place)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder whose rows nothing will read again; one that is not there is no error."""
+    system, place = _file_system(spark, path)
+    system.delete(place, True)
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once so that several passes over it do not recompute its inputs."""
     spark = df.sparkSession

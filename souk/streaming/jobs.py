@@ -7,11 +7,13 @@ the shared folder; nothing passes through the driver.
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from souk.functions.columns import iso_text, mean, money
 from souk.session import fresh_dir
+from souk.sinks.upserts import KeyedTable, hashed
 
 
 def views_per_user(views: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -73,6 +75,55 @@ def payment_windows(payments: DataFrame, length: str, slide: str | None = None,
     )
 
 
+def daily_payments(payments: DataFrame, delay: str = "1 day") -> DataFrame:
+    """Number and sum of payments per method and day, for :func:`run_update`."""
+    return (
+        payments.withWatermark("ts", delay)
+        .groupBy(F.window("ts", "1 day"), "payment_method")
+        .agg(F.count("*").alias("payments"), F.sum("total").alias("sum"))
+    )
+
+
+def windows_of_days(daily: DataFrame, days: int, kind: str) -> DataFrame:
+    """Windows of ``days`` days that begin on each day, from the figures per day: a day adds to ``days`` windows."""
+    first = F.explode(F.transform(F.sequence(F.lit(0), F.lit(days - 1)), lambda k: F.col("window.start") - F.make_dt_interval(k)))
+    return (
+        daily.select("payment_method", first.alias("start"), "payments", "sum")
+        .groupBy("payment_method", "start")
+        .agg(F.sum("payments").alias("payments"), F.sum("sum").alias("sum"))
+        .select(
+            "payment_method",
+            F.lit(kind).alias("kind"),
+            iso_text(F.col("start")).alias("window_start"),
+            "payments",
+            money(F.col("sum")).alias("revenue"),
+        )
+    )
+
+
+def activity(events: DataFrame, gap_seconds: int, delay: str = "1 day") -> DataFrame:
+    """Events per user and slice of a sixth of the gap, for :func:`run_update`; a slice lies within one session."""
+    return (
+        events.withWatermark("ts", delay)
+        .groupBy(F.window("ts", f"{gap_seconds // 6} seconds"), "user_id")
+        .agg(F.count("*").alias("events"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    )
+
+
+def sessions_of_activity(slices: DataFrame, gap_seconds: int) -> DataFrame:
+    """Sessions per user from the slices; the window runs over slices, of which a user has as many as time has passed."""
+    in_order = Window.partitionBy("user_id").orderBy("first_ts")
+    since_previous = F.unix_micros("first_ts") - F.unix_micros(F.lag("last_ts").over(in_order))
+    opens = F.coalesce(since_previous > gap_seconds * 1_000_000, F.lit(True))
+    return (
+        slices.withColumn("opens", opens)
+        .withColumn("number", F.count_if("opens").over(in_order))
+        .groupBy("user_id", "number")
+        .agg(F.min("first_ts").alias("start"), F.max("last_ts").alias("end"), F.sum("events").alias("event_count"))
+        .select("user_id", iso_text(F.col("start")).alias("start_time"), iso_text(F.col("end")).alias("end_time"), "event_count")
+    )
+
+
 def sessions(events: DataFrame, gap: str = "6 hours", delay: str = "1 day") -> DataFrame:
     """Sessions per user; ``events`` needs ``ts, user_id``."""
     return (
@@ -93,25 +144,6 @@ def deduplicated(events: DataFrame, key: str = "event_id", delay: str = "1 day")
     return events.withWatermark("ts", delay).dropDuplicatesWithinWatermark([key])
 
 
-def upsert_latest(key: str, order: list[str], base: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` writer that keeps the latest row per key.
-
-    Batch ``i`` merges its rows with version ``i - 1`` and writes version ``i`` as a new folder.
-    A batch that is run again after a failure overwrites only its own version.
-    """
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        rows = batch
-        if batch_id > 0:
-            rows = rows.unionByName(batch.sparkSession.read.schema(batch.schema).parquet(version(base, batch_id - 1)))
-        latest = rows.groupBy(key).agg(
-            F.max_by(F.struct(*[c for c in batch.columns if c != key]), F.struct(*order)).alias("row")
-        )
-        latest.select(key, "row.*").write.mode("overwrite").parquet(version(base, batch_id))
-
-    return merge
-
-
 def version(base: str, batch_id: int) -> str:
     return f"{base}/version={batch_id:012d}"
 
@@ -175,18 +207,42 @@ def run_complete(
     return spark.read.schema(schema).parquet(version(f"{base}/table", max(written)))
 
 
-def run_upsert(stream: DataFrame, key: str, order: list[str], purpose: str) -> DataFrame:
-    """Run an upsert job over all available input and read its last version."""
+def run_upsert(stream: DataFrame, key: str, order: list[str], purpose: str, parts: int = 64) -> DataFrame:
+    """Keep the latest row per key of all available input in a stored table, and read it.
+
+    A batch rewrites only the partitions of its keys.
+    """
     spark = stream.sparkSession
     base = fresh_dir(spark, purpose)
-    query = (
-        stream.writeStream.foreachBatch(upsert_latest(key, order, f"{base}/table"))
-        .option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
+    table = KeyedTable(spark, f"{base}/table", stream.schema, [key], order, hashed(key, parts=parts))
+    _run(stream.writeStream.foreachBatch(table.merge), base)
+    return table.read()
+
+
+def run_update(
+    groups: DataFrame, keys: list[str], purpose: str, base: str | None = None, folders: str = "yyyy-MM-dd"
+) -> tuple[DataFrame, StreamingQuery]:
+    """Run an aggregation by time windows over all available input in update mode and read its stored groups.
+
+    ``groups`` has a column ``window`` besides ``keys``. A batch gives only the groups it has changed, whole, and merges them into the
+    table's partitions of their days, or of longer times by the pattern ``folders``. Once the watermark has passed a window it leaves the state and stays in the table, so the state is
+    bounded and the table holds closed and open windows alike. ``base`` is the folder of the table and the checkpoint: given the same one, a later run
+    goes on where the last has stopped.
+    """
+    spark = groups.sparkSession
+    base = base or fresh_dir(spark, purpose)
+    day = F.date_format("window.start", folders)
+    stamped = groups.withColumn("batch", F.lit(0).cast("bigint"))
+    table = KeyedTable(spark, f"{base}/table", stamped.schema, ["window", *keys], ["batch"], day)
+
+    def merge(rows: DataFrame, batch_id: int) -> None:
+        table.merge(rows.withColumn("batch", F.lit(batch_id).cast("bigint")), batch_id)
+
+    query = _run(groups.writeStream.foreachBatch(merge).outputMode("update"), base)
+    return table.read().drop("batch"), query
+
+
+def _run(writer: DataStreamWriter, base: str) -> StreamingQuery:
+    query = writer.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
-    last = query.lastProgress
-    if last is None:
-        return spark.createDataFrame([], stream.schema)
-    return spark.read.schema(stream.schema).parquet(version(f"{base}/table", last["batchId"]))
+    return query

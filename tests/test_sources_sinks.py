@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from souk import schemas
 from souk.operators import flatten, keyed, revenue
 from souk.plans import nightly
-from souk.sinks import tables
+from souk.sinks import tables, upserts
 from souk.sources import json_files
 from souk.sources.shop import from_documents
 
@@ -190,3 +190,18 @@ def test_a_large_folder_is_written_by_several_tasks(spark, tmp_path, monkeypatch
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert spark.read.parquet(f"{tmp_path}/p").count() == 100
     assert 1 < len(list((tmp_path / "p").glob("province=Kigali/part-*"))) <= 9
+
+
+def test_stored_sessions_take_batches_and_give_one_user(spark, tmp_path, rows):
+    columns = "row_key string, sess_session_id string, sess_conversion_status string"
+    first = [(f"u{u}#{k:03d}", f"s{u}{k}", "browsing") for u in range(30) for k in range(5)]
+    table = upserts.keyed_sessions(spark, str(tmp_path), spark.createDataFrame([], columns).schema, parts=8)
+    table.merge(spark.createDataFrame(first, columns), 0)
+    table.merge(spark.createDataFrame([("u7#001", "s70", "old"), ("u7#002", "s99", "converted"), ("u7#009", "s9", "new")], columns), 1)
+    found = upserts.sessions_of_user(table, "u7")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan and "GreaterThanOrEqual(row_key,u7#)" in plan
+    assert len({f.rpartition("/")[0] for f in found.inputFiles()}) == 8  # all that there are; the scan opens one
+    want = [("u7#000", "s70"), ("u7#001", "s71"), ("u7#002", "s99"), ("u7#003", "s73"), ("u7#004", "s74"), ("u7#009", "s9")]
+    assert rows(found.select("row_key", "sess_session_id")) == want
+    assert upserts.sessions_of_user(table, "nobody").count() == 0 and table.read().count() == 151
