@@ -88,6 +88,20 @@ def test_one_row_of_each_group_stays(spark, way):
     assert way.one_of_each_group(df.limit(0)).count() == 0
 
 
+def test_rows_of_files_are_told_apart_without_a_copy(spark, tmp_path):
+    texts = [prose(f"file{k % 7}", 60) for k in range(40)]
+    rows = [(k if k % 3 else None, t, 10 + k, 20 + k) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, Row long, _row long").repartition(4)
+    df.write.parquet(str(tmp_path / "docs"))
+    stored = spark.read.parquet(str(tmp_path / "docs"))
+    name, told = jaccard.numbered(stored)
+    assert name == "__row" and told.select(name).distinct().count() == 40
+    for source in (stored, df):
+        kept = jaccard.one_of_each_group(source).collect()
+        least = {min(k for k in range(40) if k % 7 == c and k % 3) for c in range(7)}
+        assert {(r.doc_id, r.Row, r._row) for r in kept} == {(k, 10 + k, 20 + k) for k in least}
+
+
 def test_links_of_a_dense_group_reach_all(spark):
     r = random.Random(5)
     center = r.getrandbits(63)
