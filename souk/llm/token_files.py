@@ -9,6 +9,7 @@ Words between ASCII white space are encoded by the tokenizer library, each disti
 pattern never matches white space and normalisation does not reach across it, so the ids of a text are those of its words.
 """
 
+import functools
 import json
 import os
 import re
@@ -30,8 +31,8 @@ from souk.session import fresh_dir, materialize
 
 #: Tokens of a file, but for a longer document.
 FILE_TOKENS = 1 << 22
-#: Words and bytes of words whose ids a task keeps, and words that go to the library at once.
-KEPT_WORDS, KEPT_BYTES, SENT_WORDS = 400_000, 1 << 25, 1 << 14
+#: Words and bytes of words whose ids a Python worker keeps, and words that go to the library at once.
+KEPT_WORDS, KEPT_BYTES, SENT_WORDS = 600_000, 1 << 25, 1 << 14
 #: Files whose tokens are added up in one group before the groups are.
 GROUP = 4096
 
@@ -76,7 +77,7 @@ class Encoder:
             self.ends = np.zeros(self.library.get_vocab_size(), bool)
             self.ends[[i for token, i in spec["model"]["vocab"].items() if token.endswith(WORD_END)]] = True
             shown = byte_symbols()
-            self.shown = {c: "".join(shown[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
+            self.shown = {c: "".join(shown[b] for b in chr(c).encode()) for c in range(0x21, 0x100)} | {32: " "}
 
     def _simple(self, words: list[str]) -> list[bytes]:
         parted = [w if w[-1].isalpha() else f"{w[:-1]} {w[-1]}" for w in words]
@@ -118,6 +119,12 @@ class Encoder:
         return [b"".join(map(find, words)) for words in split]
 
 
+@functools.lru_cache(maxsize=1)
+def encoder_of(tokenizer: str) -> Encoder:
+    """The encoder of a Python worker, with its words, for all tasks that the worker runs."""
+    return Encoder(tokenizer)
+
+
 def file_bytes(doc_ids: list[int | None], tokens: list[bytes], width: int) -> bytes:
     """One file: documents without an id first, the others in ascending order of their id."""
     known = np.array([i for i in doc_ids if i is not None], np.int64)
@@ -171,7 +178,7 @@ def write(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task, made = Encoder(tokenizer), TaskContext.get(), 0
+        encoder, task, made = encoder_of(tokenizer), TaskContext.get(), 0
         system, base = _file_system(folder)
         end = b"" if end_id is None else np.array([end_id], f"<u{encoder.width}").tobytes()
         ids: list[int | None] = []
