@@ -500,7 +500,7 @@ def stream_payment_windows(shop):
         f"{PAYMENT_METHOD} AS payment_method",
         "CAST(o_totalprice AS DECIMAL(18,2)) AS total",
     )
-    daily, _ = jobs.run_update(jobs.daily_payments(payments), ["payment_method"], "payments", folders="yyyy-MM")
+    daily, _ = jobs.run_update(jobs.daily_payments(payments), ["payment_method"], "payments", folders="yyyy")
     return jobs.windows_of_days(daily, 1, "tumbling").unionByName(jobs.windows_of_days(daily, 7, "sliding"))
 
 

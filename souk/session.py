@@ -59,6 +59,14 @@ def discard(spark: SparkSession, path: str) -> None:
     system.delete(place, True)
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Give a folder another name, in one step where the file system has one."""
+    system, place = _file_system(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    if not system.rename(place, target):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once so that several passes over it do not recompute its inputs."""
     spark = df.sparkSession

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from souk.session import discard, exists
+from souk.session import discard, exists, rename
 
 #: The partition column of a stored table.
 PART = "part"
@@ -76,14 +76,14 @@ class KeyedTable:
             if not touched:
                 discard(self.spark, aside)
                 return
-            if not exists(self.spark, self.rows_path):  # nothing to merge with
-                ready = f"{aside}/changed"
+            if not exists(self.spark, self.rows_path):  # nothing to merge with: the rows become the table
+                rename(self.spark, f"{aside}/changed", self.rows_path)
+                return
             inside = F.col(PART).isin([t for t in touched if t is not None])
             if None in touched:
                 inside |= F.col(PART).isNull()
-            if ready != f"{aside}/changed":
-                both = changed.select(*self.schema.names).unionByName(self.read(inside))
-                self._write(self._last(both), ready)
+            both = changed.select(*self.schema.names).unionByName(self.read(inside))
+            self._write(self._last(both), ready)
         self._write(self._parted(ready).select(*self.schema.names), self.rows_path)
         if batch_id:
             discard(self.spark, f"{self.path}/batch={batch_id - 1:012d}")
