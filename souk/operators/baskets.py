@@ -7,15 +7,15 @@ pairs are not simply generated for every basket:
 * Rare items first. For the overall best pairs, a lower bound on the count of
   the n-th best pair is taken from the most common items. An item in fewer baskets
   than that cannot be part of a best pair and is left out.
-* The few largest baskets generate no pairs. Each item carries the set of such
-  baskets it is in as bits of a number, and a pair gains the number of bits both items
-  share. A pair that occurs in no other basket can only rank among the best if both
-  items are among the first by id of all items with the same bits, so those few
-  are added as candidates with count 0 from ordinary baskets.
+* Giant baskets, however many, generate no item pairs. Each item has its giants as bits of 64-bit words,
+  and two items share the bits that both have. Pairs that no other basket holds are found between classes of items
+  with the same giants: of a class only the first items by id can rank among the best. Two classes meet in a giant only
+  where enough later giants are left in both lists to reach the bound of one of them, the rest of the baskets is counted from the words.
 * Other baskets that are larger than a block are cut into blocks, and each pair of
   blocks is a separate row, placed on its own.
 
-All three are exact: the result equals counting every pair of every basket.
+All three are exact: the result equals counting every pair of every basket. For the best partners of each item, which
+need every pair of the ordinary baskets, items are numbered in the order of their ids, so that pairs are two numbers until the best are known.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from souk.session import materialize
 
-GIANTS = 4
 COMMON_ITEMS = 32
+WORD = 64
 
 
 def purchase_baskets(lines: DataFrame) -> DataFrame:
@@ -70,11 +70,11 @@ def _width(df: DataFrame) -> int:
 
 
 def _small_basket_pairs(light: DataFrame) -> DataFrame:
-    """All pairs of baskets that fit a block, as ``x, y`` structs."""
+    """All pairs of ``entry`` of baskets that fit a block, as ``x, y``; entries are ordered by their first field."""
     return (
         light.repartition(_width(light), "basket")
         .groupBy("basket")
-        .agg(F.array_sort(F.collect_list(F.struct("item", "bits"))).alias("entries"))
+        .agg(F.array_sort(F.collect_list("entry")).alias("entries"))
         .select("entries", F.posexplode("entries").alias("pos", "x"))
         .select("x", F.explode(_within("entries")).alias("y"))
     )
@@ -84,14 +84,14 @@ def _block_pairs(light: DataFrame, large: DataFrame) -> DataFrame:
     """The same for larger baskets, block against block; ``large`` has the number of blocks."""
     cells = (
         light.join(large, "basket")
-        .withColumn("block", F.pmod(F.xxhash64("item"), F.col("blocks")))
+        .withColumn("block", F.pmod(F.xxhash64("entry"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
         .select(
             "basket",
             F.least("block", "other").alias("lo"),
             F.greatest("block", "other").alias("hi"),
             "block",
-            F.struct("item", "bits").alias("entry"),
+            "entry",
         )
         # By all three, so that the blocks of one basket spread over tasks.
         .repartition(_width(light), "basket", "lo", "hi")
@@ -109,82 +109,177 @@ def _block_pairs(light: DataFrame, large: DataFrame) -> DataFrame:
     )
 
 
-def _light_pairs(light: DataFrame, sizes: DataFrame, block: int, largest: int) -> DataFrame:
-    """Pairs of the ordinary baskets; ``largest`` is the size of the largest."""
+def _basket_pairs(light: DataFrame, sizes: DataFrame, block: int, largest: int) -> DataFrame:
+    """Pairs of all baskets of ``light``; ``largest`` is the size of the largest."""
     if largest <= block:
         return _small_basket_pairs(light)
     large = sizes.where(F.col("size") > block).select("basket", F.ceil(F.col("size") / block).alias("blocks"))
     return _small_basket_pairs(light.join(large, "basket", "left_anti")).unionByName(_block_pairs(light, large))
 
 
-def _pair_rows(x: Column, y: Column, n: int) -> list[Column]:
-    """Pair in id order, count from ordinary baskets, count from the giants."""
-    first = x.item < y.item
-    return [
-        F.when(first, x.item).otherwise(y.item).alias("a"),
-        F.when(first, y.item).otherwise(x.item).alias("b"),
-        F.lit(n).cast("bigint").alias("n"),
-        F.bit_count(x.bits.bitwiseAND(y.bits)).cast("bigint").alias("shared"),
-    ]
+def _giant_words(inside: DataFrame) -> DataFrame:
+    """The giants of each item as bits: one row per item and word that has any."""
+    bit = F.expr(f"shiftleft(1L, cast(giant % {WORD} AS int))")
+    word = F.expr(f"giant div {WORD}").alias("word")
+    return inside.select("item", word, bit.alias("bit")).groupBy("item", "word").agg(F.bit_or("bit").alias("bits"))
 
 
-def _members(items: DataFrame) -> DataFrame:
-    """One row per item and giant basket that holds it."""
-    bits = F.filter(F.array(*[F.lit(1 << i) for i in range(GIANTS)]), lambda bit: bit.bitwiseAND(F.col("bits")) != 0)
-    return items.select(F.struct("item", "bits").alias("entry"), F.explode(bits).alias("bit"))
+def _shared(pairs: DataFrame, words: DataFrame, x: str, y: str, *keep: Column) -> DataFrame:
+    """``x, y`` with the number of giants that hold both, and aggregates of the other columns."""
+    left = words.select(F.col("item").alias(x), "word", F.col("bits").alias("x_bits"))
+    right = words.select(F.col("item").alias(y), "word", F.col("bits").alias("y_bits"))
+    both = F.bit_count(F.col("x_bits").bitwiseAND(F.col("y_bits"))).cast("bigint")
+    return (
+        pairs.join(left, x, "left")
+        .join(right, [y, "word"], "left")
+        .groupBy(x, y)
+        .agg(*keep, F.coalesce(F.sum(both), F.lit(0)).alias("shared"))
+    )
 
 
-def _giant_candidates(items: DataFrame, keep: int, per_item: bool) -> DataFrame:
-    """Pairs that may rank among the best although only giant baskets hold them."""
-    inside = items.where("bits > 0")
-    # First items by id of each set of bits: at most 2^GIANTS * (keep + 1) rows.
-    by_id = F.row_number().over(Window.partitionBy("bits").orderBy("item"))
-    first = _members(inside.withColumn("position", by_id).where(F.col("position") <= keep + 1))
-    holders = _members(inside) if per_item else first
-    return (
-        holders.select("bit", F.col("entry").alias("x"))
-        .join(F.broadcast(first.select("bit", F.col("entry").alias("y"))), "bit")
-        .where("x.item <> y.item")
-        .select(*_pair_rows(F.col("x"), F.col("y"), 0))
+def _needed(classes: DataFrame, words: DataFrame, keep: int) -> DataFrame:
+    """``class, need``: the number of giants that its ``keep``-th best partner shares at least, at least 1.
+
+    Items of a class share all its giants. Otherwise the classes in most giants are asked, as each gives a partner.
+    """
+    common = classes.orderBy(F.desc("giants"), "class").limit(COMMON_ITEMS).select(F.col("class").alias("other"))
+    of_common = words.withColumnRenamed("item", "other").join(F.broadcast(common), "other")
+    both = F.bit_count(F.col("bits").bitwiseAND(F.col("other_bits"))).cast("bigint")
+    best = (
+        words.withColumnRenamed("item", "class")
+        .join(classes.select("class"), "class", "left_semi")
+        .join(of_common.withColumnRenamed("bits", "other_bits"), "word")
+        .where("class <> other")
+        .groupBy("class", "other")
+        .agg(F.sum(both).alias("shared"))
+        .groupBy("class")
+        .agg(F.sort_array(F.collect_list("shared"), asc=False).alias("counts"))  # at most COMMON_ITEMS
+        .select("class", F.get("counts", F.lit(keep - 1)).alias("count"))
+    )
+    own = F.when(F.col("members") > keep, F.col("giants"))
+    return classes.join(best, "class", "left").select("class", F.greatest(own, "count", F.lit(1)).alias("need"))
+
+
+def _class_pairs(
+    classes: DataFrame, inside: DataFrame, needed: DataFrame, words: DataFrame, bound: int, block: int
+) -> DataFrame:
+    """``c, d, shared`` for classes of which one may have a best partner in the other; ``c <= d``. ``bound`` is the least ``need``."""
+    # Giants are numbered by size. Of a class and the first giant it shares with another, ``left`` giants are still to come.
+    left = F.row_number().over(Window.partitionBy("class").orderBy(F.desc("giant"))).cast("bigint")
+    cells = (
+        inside.withColumnRenamed("item", "class")
+        .join(needed, "class")
+        .withColumn("left", left)
+        .where(F.col("left") >= bound)
+        .select(F.col("giant").alias("basket"), F.struct("class", "left", "need").alias("entry"))
+    )
+    cells = materialize(cells, "giant-classes")
+    sizes = _sizes(cells)
+    largest = sizes.agg(F.max("size")).first()[0] or 0
+    met = (
+        _basket_pairs(cells, sizes, block, largest)
+        .where("least(x.left, y.left) >= least(x.need, y.need)")
+        .select(F.least("x.class", "y.class").alias("c"), F.greatest("x.class", "y.class").alias("d"))
+        .distinct()
     )
+    own = classes.where("members > 1").select(F.col("class").alias("c"), F.col("class").alias("d"), F.col("giants").alias("shared"))
+    return _shared(met, words, "c", "d").unionByName(own)
+
 
+def _giant_candidates(inside: DataFrame, words: DataFrame, keep: int, bound: int | None, block: int) -> DataFrame:
+    """``a, b`` of the pairs that rank among the best by the giants alone.
 
-def _pair_counts(baskets: DataFrame, keep: int, per_item: bool, giant_size: int, block: int) -> DataFrame:
+    A pair that no ordinary basket holds is outranked by whatever outranks it here. ``bound`` is the least count of a best pair overall; None asks for
+    the best partners of each item.
+    """
+    entries = F.array_sort(F.collect_list(F.struct("word", "bits")))  # one word for 64 giants
+    sets = words.groupBy("item").agg(entries.alias("set"), F.sum(F.bit_count("bits")).alias("giants"))
+    classes = sets.groupBy("set").agg(
+        F.min("item").alias("class"), F.count("*").alias("members"), F.first("giants").alias("giants")
+    )
+    of_class = materialize(sets.select("item", "set").join(classes, "set").drop("set"), "giant-items")
+    classes = of_class.where("item = class").drop("item")
+    if bound is None:
+        needed = _needed(classes, words, keep)
+    else:
+        needed = classes.select("class", F.lit(bound).cast("bigint").alias("need"))
+    pairs = _class_pairs(classes, inside, needed, words, bound or 1, block)
+    # The first items of each class; one more than asked for, as an item is no partner of itself.
+    by_id = F.row_number().over(Window.partitionBy("class").orderBy("item"))
+    first = of_class.withColumn("position", by_id).where(F.col("position") <= keep + 1)
+    if bound is None:
+        both_ways = pairs.unionByName(pairs.where("c <> d").select(F.col("d").alias("c"), F.col("c").alias("d"), "shared"))
+        by_shared = F.row_number().over(Window.partitionBy("c").orderBy(F.desc("shared"), "y"))
+        best = (
+            both_ways.join(first.select(F.col("class").alias("d"), F.col("item").alias("y")), "d")
+            .withColumn("position", by_shared)
+            .where(F.col("position") <= keep + 1)
+            .select("c", "y")
+        )
+        found = of_class.select(F.col("class").alias("c"), F.col("item").alias("x")).join(best, "c")
+    else:
+        # Each of these pairs of classes has a pair of items that outranks those of later ones.
+        best = pairs.where(F.col("shared") >= bound).orderBy(F.desc("shared"), "c", "d").limit(keep).select("c", "d")
+        found = best.join(first.select(F.col("class").alias("c"), F.col("item").alias("x")), "c").join(
+            first.select(F.col("class").alias("d"), F.col("item").alias("y")), "d"
+        )
+    return found.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
+def _numbered(baskets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The baskets with numbers for items, in the order of their ids, and ``number, item``."""
+    number = F.monotonically_increasing_id().alias("number")
+    names = materialize(baskets.select("item").distinct().orderBy("item").select(number, "item"), "items")
+    return baskets.join(names, "item").select("basket", F.col("number").alias("item")), names
+
+
+def _sizes(baskets: DataFrame) -> DataFrame:
+    return baskets.groupBy("basket").agg(F.count("*").alias("size"))
+
+
+def _pair_counts(baskets: DataFrame, sizes: DataFrame, keep: int, per_item: bool, giant_size: int, block: int) -> DataFrame:
     """``a, b, baskets`` for every pair that can be among the ``keep`` best.
 
     ``per_item`` asks for the best partners of each item instead of the best pairs overall.
-    The few largest basket sizes and the bound are fetched first, so the usual plan has no
-    branch for giants or blocks.
+    The number of giants and the bound are fetched first, so the usual plan has no branch for giants or blocks.
     """
-    baskets = materialize(baskets, "baskets")
-    sizes = baskets.groupBy("basket").agg(F.count("*").alias("size"))
-    largest = sizes.orderBy(F.desc("size"), "basket").limit(GIANTS + 1).collect()
-    giants = [row.basket for row in largest[:GIANTS] if row.size > giant_size]
-    rest = largest[len(giants)].size if len(giants) < len(largest) else 0
-
-    bit = F.lit(0)
-    for i, giant in enumerate(giants):
-        bit = F.when(F.col("basket") == giant, 1 << i).otherwise(bit)
-    flagged = baskets.withColumn("bit", bit)
-    items = flagged.groupBy("item").agg(F.count("*").alias("support"), F.sum("bit").alias("bits"))
-    bound = 1 if per_item else _support_bound(baskets, items, keep)
-    items = items.where(F.col("support") >= bound)
-
-    light = flagged.where("bit = 0").select("basket", "item")
-    if giants or bound > 1:
-        light = light.join(items.select("item", "bits"), "item")
-    else:
-        light = light.withColumn("bits", F.lit(0).cast("bigint"))
-    pairs = _light_pairs(light, sizes, block, rest).select(*_pair_rows(F.col("x"), F.col("y"), 1))
+    giant = F.col("size") > giant_size
+    giants, largest = sizes.agg(F.count_if(giant), F.max(F.when(~giant, F.col("size")))).first()
+    bound = None
+    kept = baskets
+    if not per_item:
+        support = baskets.groupBy("item").agg(F.count("*").alias("support"))
+        bound = _support_bound(baskets, support, keep)
+        if bound > 1:
+            kept = baskets.join(support.where(F.col("support") >= bound).select("item"), "item", "left_semi")
+    light = kept
     if giants:
-        pairs = pairs.unionByName(_giant_candidates(items, keep, per_item))
-    return pairs.groupBy("a", "b").agg((F.sum("n") + F.max("shared")).alias("baskets"))
+        number = F.monotonically_increasing_id().alias("giant")  # smaller giants first: fewer classes meet there
+        numbers = materialize(sizes.where(giant).orderBy("size", "basket").select("basket", number), "giants")
+        inside = materialize(kept.join(numbers, "basket").select("item", "giant"), "giant-rows")
+        light = kept.join(numbers, "basket", "left_anti")
+
+    x, y = F.col("x.item"), F.col("y.item")
+    entries = light.select("basket", F.struct("item").alias("entry"))
+    pairs = (
+        _basket_pairs(entries, sizes, block, largest or 0)
+        .groupBy(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+        .agg(F.count("*").alias("n"))
+    )
+    if not giants:
+        return pairs.withColumnRenamed("n", "baskets")
+    words = materialize(_giant_words(inside), "giant-words")
+    candidates = _giant_candidates(inside, words, keep, bound, block).withColumn("n", F.lit(0).cast("bigint"))
+    once = pairs.unionByName(candidates).groupBy("a", "b").agg(F.max("n").alias("n"))
+    counted = _shared(once, words, "a", "b", F.first("n").alias("n"))
+    return counted.select("a", "b", (F.col("n") + F.col("shared")).alias("baskets"))
 
 
 def top_pairs(baskets: DataFrame, n: int = 10, giant_size: int = 2_000, block: int = 500) -> DataFrame:
     """The ``n`` pairs found in most baskets; ties go by id."""
+    baskets = materialize(baskets, "baskets")
     return (
-        _pair_counts(baskets, n, False, giant_size, block)
+        _pair_counts(baskets, _sizes(baskets), n, False, giant_size, block)
         .orderBy(F.desc("baskets"), "a", "b")
         .limit(n)
         .select(F.col("a").alias("product_a"), F.col("b").alias("product_b"), F.col("baskets").alias("pair_count"))
@@ -193,13 +288,17 @@ def top_pairs(baskets: DataFrame, n: int = 10, giant_size: int = 2_000, block: i
 
 def best_partners(baskets: DataFrame, n: int = 3, giant_size: int = 2_000, block: int = 500) -> DataFrame:
     """For every item the ``n`` items it shares most baskets with; ties go by id."""
-    pairs = _pair_counts(baskets, n, True, giant_size, block)
-    both_ways = pairs.select(F.col("a").alias("product_id"), F.col("b").alias("other_id"), "baskets").unionByName(
-        pairs.select(F.col("b").alias("product_id"), F.col("a").alias("other_id"), "baskets")
-    )
-    position = F.row_number().over(Window.partitionBy("product_id").orderBy(F.desc("baskets"), "other_id"))
+    baskets = materialize(baskets, "baskets")
+    numbered, names = _numbered(baskets)
+    pairs = _pair_counts(numbered, _sizes(baskets), n, True, giant_size, block)
+    sides = F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y"))))
+    position = F.row_number().over(Window.partitionBy("x").orderBy(F.desc("baskets"), "y"))
     return (
-        both_ways.withColumn("position", position.cast("bigint"))
+        pairs.select(sides.alias("side"), "baskets")
+        .select("side.*", "baskets")
+        .withColumn("position", position.cast("bigint"))
         .where(F.col("position") <= n)
+        .join(names.select(F.col("number").alias("x"), F.col("item").alias("product_id")), "x")
+        .join(names.select(F.col("number").alias("y"), F.col("item").alias("other_id")), "y")
         .select("product_id", "position", "other_id", F.col("baskets").alias("pair_count"))
     )

@@ -42,7 +42,7 @@ def generate(seed, giants):
 
 @pytest.mark.parametrize(
     ("giants", "giant_size", "block"),
-    [(0, 2_000, 500), (1, 20, 500), (3, 20, 5), (7, 20, 500), (7, 20, 5), (3, 2_000, 4), (1, 3, 2), (7, 3, 2)],
+    [(0, 2_000, 500), (1, 20, 500), (5, 20, 500), (7, 20, 5), (3, 2_000, 4), (7, 3, 2), (40, 20, 500), (70, 20, 9)],
 )
 def test_pairs_match_brute_force(spark, giants, giant_size, block):
     data = generate(giants * 31 + giant_size + block, giants)
