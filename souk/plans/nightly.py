@@ -2,27 +2,43 @@
 
 from dataclasses import fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from souk.operators import baskets, customers, flatten, keyed, products, quality, revenue, sessions
 from souk.schemas import ENTITIES
 from souk.sinks import tables
-from souk.sources.json_files import read_entity
+from souk.sources.json_files import MALFORMED, read_entity_records
 from souk.sources.shop import Shop, flat_categories, flat_subcategories, from_documents
 
 UNIQUE_KEYS = {"users": ("user_id",), "products": ("product_id",)}
 
 
 def load_tables(spark: SparkSession, json_folder: str, table_folder: str) -> None:
-    """Replace the stored tables by the JSON files; products get their category names."""
-    documents = {entity: read_entity(spark, json_folder, entity) for entity in ENTITIES}
-    categories = documents["categories"]
-    documents["products"] = flatten.enrich_products(
-        documents["products"], flat_categories(categories), flat_subcategories(categories)
-    )
-    for entity, df in documents.items():
+    """Replace the stored tables by the JSON files; products get their category names.
+
+    Records that do not have the schema are left out, and their texts stored in ``malformed``. The table ``load_report`` counts the records
+    and the malformed ones of each entity, in the pass that writes it; a second pass fetches the texts only where there are any.
+    """
+    records = {entity: read_entity_records(spark, json_folder, entity) for entity in ENTITIES}
+    well_formed = F.col(MALFORMED).isNull()
+    categories = records["categories"].where(well_formed).drop(MALFORMED)
+    counts = []
+    for entity, df in records.items():
+        seen = Observation(f"load {entity}")
+        df = df.observe(seen, F.count("*").alias("records"), F.count(MALFORMED).alias("malformed"))
+        df = df.where(well_formed).drop(MALFORMED)
+        if entity == "products":
+            df = flatten.enrich_products(df, flat_categories(categories), flat_subcategories(categories))
         tables.replace_table(df, table_folder, entity, UNIQUE_KEYS.get(entity, ()))
+        counts.append((entity, seen.get["records"], seen.get["malformed"]))
+        if seen.get["malformed"]:
+            malformed = records[entity].where(~well_formed).select(MALFORMED)
+        else:
+            malformed = spark.createDataFrame([], f"{MALFORMED} STRING")
+        tables.replace_table(malformed, f"{table_folder}/malformed", entity)
+    report = spark.createDataFrame(counts, "entity STRING, records BIGINT, malformed BIGINT")
+    tables.replace_table(report, table_folder, "load_report")
 
 
 def clean_shop(spark: SparkSession, table_folder: str) -> Shop:

@@ -2,9 +2,15 @@
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from souk.schemas import ENTITIES
 
+#: Text of a record that does not have the schema; null for the others.
+MALFORMED = "malformed_text"
+#: What stands before each record of an array that is indented by two blanks. Text within quotes has no line ends.
+RECORD_START = "\n  {"
+
 
 def read_json_array(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     """Read indented JSON arrays; a lone object counts as one row. ``path`` may be a glob.
@@ -14,10 +20,51 @@ def read_json_array(spark: SparkSession, path: str | list[str], schema: str) ->
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
+def read_json_records(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
+    """The records of JSON arrays, read by any number of tasks per file; malformed ones keep their text in ``MALFORMED`` and are null elsewhere.
+
+    Arrays indented by two blanks are cut before each record. A file of another layout is one piece, read by one task: an array, or
+    a lone object as one row. Such a piece is malformed as a whole if it is no JSON at all. A record whose values do not
+    fit the schema is malformed; a file without text has no records. A file cut short exactly between two records is not noticed, nor are an
+    array that is indented in part and a lone object indented by one blank told from broken ones: they give malformed pieces.
+    """
+    pieces = spark.read.option("lineSep", RECORD_START).text(path).select(F.trim(F.col("value"), F.lit(" \t\r\n")).alias("piece"))
+    piece = F.col("piece")
+    # Behind the opening brace of a record stands neither of these.
+    first = piece.startswith("[") | piece.startswith("{")
+    record = F.concat(F.lit("{"), F.regexp_replace(piece, r"(?:,|\s*+\])$", ""))
+    elements = F.from_json(piece, "array<string>", {"mode": "PERMISSIVE"})
+    texts = (
+        F.when(~first, F.array(record))
+        .when(piece.startswith("{"), F.array(piece))
+        .otherwise(F.coalesce(elements, F.array(piece)))
+    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+    text = F.coalesce("text", F.lit("null"))
+    return (
+        # The bracket that opens an indented array is a piece of its own.
+        pieces.where(~piece.isin("", "["))
+        .select(F.explode(texts).alias("text"))
+        .select(text.alias("text"), F.from_json(text, f"{schema}, {MALFORMED} STRING", options).alias("row"))
+        .withColumn("row", F.when(F.col(f"row.{MALFORMED}").isNull(), F.col("row")))
+        .select("row.*", F.when(F.col("row").isNull(), F.col("text")).alias("text"))
+        .drop(MALFORMED)
+        .withColumnRenamed("text", MALFORMED)
+    )
+
+
+def entity_path(folder: str, entity: str) -> str:
+    """The files of one entity; sessions come as any number of numbered shards."""
+    return f"{folder}/sessions_*.json" if entity == "sessions" else f"{folder}/{entity}.json"
+
+
 def read_entity(spark: SparkSession, folder: str, entity: str) -> DataFrame:
-    """Read one entity from its files; sessions come as any number of numbered shards."""
-    name = "sessions_*.json" if entity == "sessions" else f"{entity}.json"
-    return read_json_array(spark, f"{folder}/{name}", ENTITIES[entity])
+    return read_json_array(spark, entity_path(folder, entity), ENTITIES[entity])
+
+
+def read_entity_records(spark: SparkSession, folder: str, entity: str) -> DataFrame:
+    """The same with malformed records set apart in ``MALFORMED``."""
+    return read_json_records(spark, entity_path(folder, entity), ENTITIES[entity])
 
 
 def load(

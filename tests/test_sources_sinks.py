@@ -5,6 +5,7 @@ import pytest
 
 from documents import CATEGORIES, product, session, shop, transaction
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from souk import schemas
 from souk.operators import flatten, keyed, revenue
@@ -81,6 +82,51 @@ def test_one_object_is_one_row(spark, tmp_path):
     assert json_files.read_entity(spark, str(tmp_path), "users").count() == 1
 
 
+@pytest.mark.parametrize("indent", [None, 0, 1, 2, 4])
+def test_records_of_any_layout(spark, tmp_path, indent):
+    users = [{"user_id": f"u{i}", "geo_data": {"city": 'a "q"\n  {x},'}} for i in range(5)]
+    texts = [users, users[:1], [], {"user_id": "u"}, [{}, {}]]
+    for i, data in enumerate(texts):
+        (tmp_path / f"{i}.json").write_text(json.dumps(data, indent=indent) + "\n" * (i % 2))
+        path = str(tmp_path / f"{i}.json")
+        found = json_files.read_json_records(spark, path, schemas.ENTITIES["users"])
+        want = json_files.read_json_array(spark, path, schemas.ENTITIES["users"])
+        assert found.where(f"{json_files.MALFORMED} IS NOT NULL").count() == 0
+        assert as_json(found.drop(json_files.MALFORMED)) == as_json(want)
+
+
+def test_one_array_is_read_by_many_tasks(spark, tmp_path):
+    dump(tmp_path / "users.json", [{"user_id": f"u{i:06d}", "geo_data": {"city": "Gasabo"}} for i in range(20_000)])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        found = json_files.read_entity_records(spark, str(tmp_path), "users")
+        tasks = found.groupBy(F.spark_partition_id()).count().collect()
+        assert len(tasks) > 3
+        assert sorted(r[0] for r in found.select("user_id").collect()) == [f"u{i:06d}" for i in range(20_000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize(
+    ("text", "good", "bad"),
+    [
+        ('[\n  {\n    "user_id": "u"\n  },\n  {\n    "user_id": oops\n  },\n  {\n    "user_id": "w"\n  }\n]', ["u", "w"], 1),
+        ('[\n  {\n    "user_id": "u"\n  },\n  {\n    "user_id": "v"', ["u"], 1),  # cut short
+        ('[\n  {\n    "user_id": "u",\n    "geo_data": 7\n  }\n]', [], 1),  # another type
+        ('[{"user_id": "u"}, 5, null]', ["u"], 2),
+        ('[{"user_id": "u"}', [], 1),
+        ("", [], 0),
+        ("no json", [], 1),
+    ],
+)
+def test_malformed_records_are_set_aside(spark, tmp_path, text, good, bad):
+    (tmp_path / "users.json").write_text(text)
+    found = json_files.read_entity_records(spark, str(tmp_path), "users")
+    assert [r.user_id for r in found.where(f"{json_files.MALFORMED} IS NULL").collect()] == good
+    assert found.where(f"{json_files.MALFORMED} IS NOT NULL").count() == bad
+
+
 def test_categories_file_becomes_one_line_per_subcategory(spark, documents, tmp_path):
     cats = json_files.read_entity(spark, str(documents), "categories")
     s = from_documents(
@@ -205,3 +251,22 @@ def test_stored_sessions_take_batches_and_give_one_user(spark, tmp_path, rows):
     want = [("u7#000", "s70"), ("u7#001", "s71"), ("u7#002", "s99"), ("u7#003", "s73"), ("u7#004", "s74"), ("u7#009", "s9")]
     assert rows(found.select("row_key", "sess_session_id")) == want
     assert upserts.sessions_of_user(table, "nobody").count() == 0 and table.read().count() == 151
+
+
+def test_nightly_load_counts_and_stores_malformed_records(spark, documents, tmp_path):
+    path = documents / "sessions_1.json"
+    whole = json.loads(path.read_text())
+    path.write_text(path.read_text()[:-2] + ',\n  {\n    "session_id": broken\n  }\n]')
+    categories = documents / "categories.json"
+    categories.write_text(categories.read_text()[:-2] + ',\n  {\n    "category_id": \n  }\n]')
+    out = f"{tmp_path}/work"
+    nightly.load_tables(spark, str(documents), out)
+    report = {r.entity: (r.records, r.malformed) for r in spark.read.parquet(f"{out}/load_report").collect()}
+    sessions = spark.read.parquet(f"{out}/sessions").count()
+    assert len(whole) >= 1 and report["sessions"] == (sessions + 1, 1)
+    assert report["categories"] == (spark.read.parquet(f"{out}/categories").count() + 1, 1)
+    assert report["users"] == (1, 0) and report["products"] == (1, 0)
+    assert "broken" in spark.read.parquet(f"{out}/malformed/sessions").first()[0]
+    assert spark.read.parquet(f"{out}/malformed/users").count() == 0
+    nightly.load_tables(spark, str(documents), out)  # a second run replaces all of it
+    assert spark.read.parquet(f"{out}/malformed/sessions").count() == 1
