@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from souk.llm.arrays import pieces
+from souk.llm.names import others
 
 ORDER = 3
 #: About so many bytes of text of each language are learned from, whatever the size of the input.
@@ -30,6 +31,8 @@ SCORED_BYTES = 1 << 19
 GAP = b"   "
 LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
+#: The columns of a prediction.
+ADDED = ("lang_pred", "score", "bits_per_byte")
 
 
 @dataclass
@@ -128,14 +131,14 @@ def classify(
     lang_col: str = "lang",
     sample_bytes: int = SAMPLE_BYTES,
 ) -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` and ``bits_per_byte``, learned from the rows of ``training`` with a language.
+    """``docs`` with ``lang_pred``, ``score`` and ``bits_per_byte`` (columns of these names are replaced), learned from the rows of ``training`` with a language.
 
     ``score`` is the probability of the language among those learned, all alike beforehand. A text that is
     null or has no letter is ``und`` with score 0; so are all texts if nothing could be learned. Equal codes go to the
     first language in the alphabet. Each row is predicted by its text alone; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    docs = docs.drop("lang_pred", "score", "bits_per_byte")
+    docs = docs.select(*others(docs.columns, ADDED))
     model = fit(sample(docs.where(training), id_col, text_col, lang_col, sample_bytes))
     sent = spark.sparkContext.broadcast(model)
     names = docs.columns
@@ -165,7 +168,7 @@ def classify(
                 begin = end
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(pred.tolist(), pa.string()), pa.array(score), pa.array(rate)],
-                [*names, "lang_pred", "score", "bits_per_byte"],
+                [*names, *ADDED],
             )
 
     schema = StructType(docs.schema.fields[:]).add("lang_pred", "string").add("score", "double").add("bits_per_byte", "double")

@@ -10,6 +10,7 @@ leaf, windows over siblings, and a cut key per leaf that the documents are compa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from souk.llm.names import free, others
 from souk.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -157,15 +158,15 @@ def mix(
     plan = materialize(
         leaf_plans(docs, domain, budget_share, max_epochs, weights, seed, id_col, text_col, lang_col, source_col), "leaf-plans"
     )
-    names = [c for c in docs.columns if c not in ("domain", "epochs", "leaf_given")]
-    named = docs.withColumn("_at_domain", domain)
-    same = (
-        F.col("_at_domain").eqNullSafe(F.col("_domain"))
-        & F.col(lang_col).eqNullSafe(F.col("_lang"))
-        & F.col(source_col).eqNullSafe(F.col("_source"))
-    )
-    extra = (order_key(id_col, seed, F.col("full") + 1) <= F.col("cut_key")).cast("long")
-    epochs = (F.col("full") + F.coalesce(extra, F.lit(0))).cast("int")
-    return named.join(plan, same).select(
-        *names, F.col("_at_domain").alias("domain"), epochs.alias("epochs"), F.col("given").alias("leaf_given")
+    names = others(docs.columns, ("domain", "epochs", "leaf_given"))
+    at_domain = free("_at_domain", docs.columns)
+    own = {c: free(c, [*docs.columns, at_domain]) for c in plan.columns}
+    named = docs.withColumn(at_domain, domain)
+    same = F.lit(True)
+    for held, level in zip((at_domain, lang_col, source_col), LEVELS, strict=True):
+        same = same & F.col(held).eqNullSafe(F.col(own[level]))
+    extra = (order_key(id_col, seed, F.col(own["full"]) + 1) <= F.col(own["cut_key"])).cast("long")
+    epochs = (F.col(own["full"]) + F.coalesce(extra, F.lit(0))).cast("int")
+    return named.join(plan.withColumnsRenamed(own), same).select(
+        *names, F.col(at_domain).alias("domain"), epochs.alias("epochs"), F.col(own["given"]).alias("leaf_given")
     )

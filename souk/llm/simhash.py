@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from souk.llm.arrays import LOWER, text_slices, words
 from souk.llm.components import components
+from souk.llm.names import free
 from souk.session import materialize
 
 SEED = 42
@@ -175,8 +176,9 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     A null id comes after all others, so that a row without an id stays if no row with one is in its group. Of rows with the
     same id in a group, repeated ones too, one stays. Null and blank texts are one group.
     """
-    rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered-rows")
-    ids = rows.select("_row", F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("_row").alias("row")).alias("rank"))
-    groups = near_duplicates(rows, "_row", text_col).select(F.col("doc_id").alias("_row"), "component_id")
-    kept = groups.join(ids, "_row").groupBy("component_id").agg(F.min("rank").alias("rank"))
-    return rows.join(kept.select(F.col("rank.row").alias("_row")), "_row", "left_semi").select(*docs.columns)
+    row = free("_row", docs.columns)
+    rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-rows")
+    ids = rows.select(F.col(row).alias("at"), F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row")).alias("rank"))
+    groups = near_duplicates(rows, row, text_col).select(F.col("doc_id").alias("at"), "component_id")
+    kept = groups.join(ids, "at").groupBy("component_id").agg(F.min("rank").alias("rank"))
+    return rows.join(kept.select(F.col("rank.row").alias(row)), row, "left_semi").select(*docs.columns)

@@ -15,11 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from souk.llm.arrays import pieces, span_hashes, text_slices, words
+from souk.llm.names import free, others
 
 #: Bytes of a chunk, least and most; the gear hash at a chunk's end is below END (one in three).
 MIN_CHUNK, MAX_CHUNK, END = 16, 256, (1 << 16) // 3
 #: Words that a run of repeated chunks needs to be cut.
 MIN_WORDS = 20
+#: The columns that tell what was cut.
+ADDED = ("_cuts", "_cut_words")
 
 _GEAR = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 16, 256, dtype=np.uint16)
 
@@ -129,18 +132,20 @@ def cut(text: bytes, spans: list[tuple[int, int, int]], min_words: int) -> tuple
 def without_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS
 ) -> DataFrame:
-    """``docs`` with repeated passages cut out of the text column, plus ``_cuts`` and ``_cut_words``.
+    """``docs`` with repeated passages cut out of the text column, plus ``_cuts`` and ``_cut_words``; columns of these names are replaced.
 
     The first place of a passage in id order stays whole. All rows and columns are kept; a null text
     stays null, a text that is repeated throughout becomes empty, rows with one id count as one
     document and rows without an id stay as they are. An empty table gives no rows.
     """
-    spans = repeated_chunks(docs, id_col, text_col).groupBy(F.col("doc_id").alias("_of")).agg(
-        F.collect_set(F.struct("start", "stop", "digest")).alias("_spans")
+    docs = docs.select(*others(docs.columns, ADDED))
+    of, held_spans = free("_of", docs.columns), free("_spans", docs.columns)
+    spans = repeated_chunks(docs, id_col, text_col).groupBy(F.col("doc_id").alias(of)).agg(
+        F.collect_set(F.struct("start", "stop", "digest")).alias(held_spans)
     )
-    joined = docs.join(spans, F.col(id_col) == F.col("_of"), "left").drop("_of")
+    joined = docs.join(spans, F.col(id_col) == F.col(of), "left").drop(of)
     names, kept_names = joined.columns, docs.columns
-    at, spans_at = names.index(text_col), names.index("_spans")
+    at, spans_at = names.index(text_col), names.index(held_spans)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -156,8 +161,10 @@ def without_repeats(
                 texts = pa.array(new, texts.type)
             columns = [texts if k == at else batch.column(k) for k in range(len(names)) if k != spans_at]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(cuts), pa.array(gone)], [*kept_names, "_cuts", "_cut_words"]
+                [*columns, pa.array(cuts), pa.array(gone)], [*kept_names, *ADDED]
             )
 
-    schema = StructType(docs.schema.fields[:]).add("_cuts", "integer").add("_cut_words", "integer")
+    schema = StructType(docs.schema.fields[:])
+    for name in ADDED:
+        schema = schema.add(name, "integer")
     return joined.mapInArrow(run, schema)
