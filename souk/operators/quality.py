@@ -1,9 +1,11 @@
 """Cleaning rules, key checks and row counts."""
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from souk.functions.columns import percent, parse_iso, strip
 
@@ -98,26 +100,68 @@ def require_unique(df: DataFrame, entity: str, *keys: str) -> DataFrame:
     return df
 
 
-def relation_faults(relation: str, parent: DataFrame, parent_key: str, child: DataFrame, child_key: str) -> DataFrame:
-    """Child rows without a parent, and parent keys that are not unique.
+class Relation(NamedTuple):
+    """A key of one table that names rows of another."""
+
+    name: str
+    parent: str
+    parent_key: str
+    child: str
+    child_key: str
+
+
+def _key_kind(df: DataFrame, key: str) -> str:
+    return "bigint" if isinstance(df.schema[key].dataType, IntegralType) else "string"
 
-    Both sides are counted per key before they meet, so a key that holds most
-    rows is one row in the join.
+
+def reference_faults(tables: dict[str, DataFrame], relations: list[Relation]) -> DataFrame:
+    """Per relation the child rows and keys without a parent, and the parent keys that are not unique.
+
+    Each table is read once for all relations that it is part of: it gives a row for each of its keys, and all rows are counted per key in one grouping
+    for whole-number keys and one for others. Counts are made before the shuffle, so a key that holds most rows is one row of each task. Null
+    child keys name nothing; keys of two kinds, a number and a text, meet as texts.
     """
-    children = child.groupBy(F.col(child_key).alias("key")).agg(F.count("*").alias("rows")).where("key IS NOT NULL")
-    parents = parent.groupBy(F.col(parent_key).alias("key")).agg(F.count("*").alias("copies"))
-    orphans = children.join(parents, "key", "left_anti").agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("n1"), F.count("*").alias("n2"), F.lit(0).cast("bigint").alias("n3")
-    )
-    repeated = parents.where("copies > 1").agg(
-        F.lit(0).cast("bigint").alias("n1"), F.lit(0).cast("bigint").alias("n2"), F.count("*").alias("n3")
-    )
-    return (
-        orphans.unionByName(repeated)
-        .agg(
-            F.sum("n1").alias("orphan_rows"),
-            F.sum("n2").alias("orphan_keys"),
-            F.sum("n3").alias("repeated_parent_keys"),
-        )
-        .select(F.lit(relation).alias("relation"), "*")
+    grouped: dict[str, list[Relation]] = {}
+    for r in relations:
+        kinds = {_key_kind(tables[r.parent], r.parent_key), _key_kind(tables[r.child], r.child_key)}
+        grouped.setdefault("bigint" if kinds == {"bigint"} else "string", []).append(r)
+    return union_all([_faults_of_kind(tables, same, kind) for kind, same in grouped.items()])
+
+
+def relation_faults(relation: str, parent: DataFrame, parent_key: str, child: DataFrame, child_key: str) -> DataFrame:
+    """:func:`reference_faults` of one relation."""
+    return reference_faults({"parent": parent, "child": child}, [Relation(relation, "parent", parent_key, "child", child_key)])
+
+
+def _faults_of_kind(tables: dict[str, DataFrame], relations: list[Relation], kind: str) -> DataFrame:
+    # a domain is a key of a parent; in it role 0 is the parent, the others are its children
+    domains: dict[tuple[str, str], list[Relation]] = {}
+    for r in relations:
+        domains.setdefault((r.parent, r.parent_key), []).append(r)
+    keys: dict[str, list[Column]] = {}
+    found = []
+    missing = (F.col("copies") == 0) & F.col("key").isNotNull()
+
+    def gives(table: str, domain: int, role: int, key: str) -> None:
+        row = F.struct(F.lit(domain).alias("domain"), F.lit(role).alias("role"), F.col(key).cast(kind).alias("key"))
+        keys.setdefault(table, []).append(row)
+
+    for d, ((parent, parent_key), children) in enumerate(domains.items()):
+        gives(parent, d, 0, parent_key)
+        for role, r in enumerate(children, 1):
+            gives(r.child, d, role, r.child_key)
+            rows = F.when((F.col("domain") == d) & missing, F.col(f"rows{role}"))
+            found.append(
+                F.struct(
+                    F.lit(r.name).alias("relation"),
+                    F.coalesce(F.sum(rows), F.lit(0)).alias("orphan_rows"),
+                    F.count_if(rows > 0).alias("orphan_keys"),
+                    F.count_if((F.col("domain") == d) & (F.col("copies") > 1)).alias("repeated_parent_keys"),
+                )
+            )
+    rows = union_all([tables[t].select(F.inline(F.array(*each))) for t, each in keys.items()])
+    counts = rows.groupBy("domain", "key").agg(
+        F.count_if(F.col("role") == 0).alias("copies"),
+        *[F.count_if(F.col("role") == role).alias(f"rows{role}") for role in range(1, 1 + max(map(len, domains.values())))],
     )
+    return counts.agg(F.array(*found).alias("found")).select(F.inline("found"))

@@ -126,17 +126,26 @@ def duplicate_keys(shop):
 
 @report
 def fk_violations(shop):
-    faults = quality.relation_faults
-    items = flatten.export_categories(shop.categories, shop.subcategories)
-    return quality.union_all(
+    tables = {
+        "users": shop.users,
+        "transactions": shop.transactions,
+        "sessions": shop.sessions,
+        "products": shop.products,
+        "categories": flatten.export_categories(shop.categories, shop.subcategories),
+        "orders": shop.table("orders"),
+        "items": shop.table("lineitem"),
+        "parts": shop.table("part"),
+    }
+    return quality.reference_faults(
+        tables,
         [
-            faults("users-transactions", shop.users, "user_id", shop.transactions, "user_id"),
-            faults("users-sessions", shop.users, "user_id", shop.sessions, "user_id"),
-            faults("transactions-items", shop.table("orders"), "o_orderkey", shop.table("lineitem"), "l_orderkey"),
-            faults("products-items", shop.table("part"), "p_partkey", shop.table("lineitem"), "l_partkey"),
-            faults("categories-products", items, "category_id", shop.products, "category_id"),
-            faults("sessions-transactions", shop.sessions, "session_id", shop.transactions, "session_id"),
-        ]
+            quality.Relation("users-transactions", "users", "user_id", "transactions", "user_id"),
+            quality.Relation("users-sessions", "users", "user_id", "sessions", "user_id"),
+            quality.Relation("transactions-items", "orders", "o_orderkey", "items", "l_orderkey"),
+            quality.Relation("products-items", "parts", "p_partkey", "items", "l_partkey"),
+            quality.Relation("categories-products", "categories", "category_id", "products", "category_id"),
+            quality.Relation("sessions-transactions", "sessions", "session_id", "transactions", "session_id"),
+        ],
     )
 
 

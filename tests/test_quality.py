@@ -1,3 +1,5 @@
+import random
+from collections import Counter
 from datetime import datetime
 from decimal import Decimal
 
@@ -99,6 +101,51 @@ def test_relations(spark, rows):
     assert rows(nothing) == [("r", 0, 0, 0)]
 
 
+def test_relations_of_several_tables_against_plain_counts(spark, rows):
+    r = random.Random(5)
+    keys = {
+        ("users", "id"): [None, None, *(r.choice("abcdef") for _ in range(12))],
+        ("orders", "user"): [r.choice(["a", "b", "x", "y", None]) for _ in range(40)],
+        ("visits", "user"): ["a"] * 30 + ["z"] * 5,
+        ("visits", "id"): list(range(35)),
+        ("orders", "visit"): [r.choice([1, 2, 3, 99, None]) for _ in range(40)],
+    }
+    visits = list(zip(keys["visits", "user"], keys["visits", "id"], strict=True))
+    orders = list(zip(keys["orders", "user"], keys["orders", "visit"], strict=True))
+    tables = {
+        "users": spark.createDataFrame([(k,) for k in keys["users", "id"]], "id string"),
+        "orders": spark.createDataFrame(orders, "user string, visit int"),
+        "visits": spark.createDataFrame(visits, "user string, id long"),
+        "none": spark.createDataFrame([], "id long"),
+    }
+    keys["none", "id"] = []
+    wanted = [
+        ("users", "id", "orders", "user"), ("users", "id", "visits", "user"), ("visits", "id", "orders", "visit"), ("none", "id", "visits", "id"),
+        ("orders", "visit", "users", "id"),  # a number and a text
+    ]
+    relations = [quality.Relation(f"{p}-{c}", p, pk, c, ck) for p, pk, c, ck in wanted]
+    plain = []
+    for p, pk, c, ck in wanted:
+        parents = Counter(None if k is None else str(k) for k in keys[p, pk])
+        orphans = [k for k in keys[c, ck] if k is not None and str(k) not in parents]
+        plain.append((f"{p}-{c}", len(orphans), len(set(orphans)), sum(n > 1 for n in parents.values())))
+    got = quality.reference_faults(tables, relations)
+    assert sorted(rows(got)) == sorted(plain)
+
+
+def test_a_table_is_read_once_for_all_its_relations(spark, tmp_path):
+    for name, schema in (("users", "id string"), ("orders", "user string, visit string"), ("visits", "user string, id string")):
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}")
+    tables = {name: spark.read.parquet(f"{tmp_path}/{name}") for name in ("users", "orders", "visits")}
+    relations = [
+        quality.Relation("a", "users", "id", "orders", "user"),
+        quality.Relation("b", "users", "id", "visits", "user"),
+        quality.Relation("c", "visits", "id", "orders", "visit"),
+    ]
+    plan = quality.reference_faults(tables, relations)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 3 and plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
 def test_row_counts(spark, rows):
     df = spark.range(3)
     assert rows(quality.row_counts(a=df, b=df.limit(0))) == [("a", 3), ("b", 0)]
