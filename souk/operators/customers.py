@@ -46,22 +46,30 @@ def user_order_stats(transactions: DataFrame) -> DataFrame:
     )
 
 
-def purchase_summary(transactions: DataFrame) -> DataFrame:
-    """The summary that user profiles cache, over paid orders."""
+def purchase_sums(transactions: DataFrame, *parts: str) -> DataFrame:
+    """Paid orders per user, and per value of the columns ``parts``, as sums that add up."""
     return (
         paid(transactions)
-        .groupBy("user_id")
+        .groupBy("user_id", *parts)
         .agg(F.count("*").alias("total_orders"), F.sum("total").alias("spend"), F.max("ts").alias("last_ts"))
-        .select(
-            "user_id",
-            "total_orders",
-            money(F.col("spend")).alias("total_spent"),
-            mean(F.col("spend"), F.col("total_orders")).alias("avg_order"),
-            iso_text(F.col("last_ts")).alias("last_purchase"),
-        )
     )
 
 
+def summary_of_sums(sums: DataFrame) -> DataFrame:
+    return sums.select(
+        "user_id",
+        "total_orders",
+        money(F.col("spend")).alias("total_spent"),
+        mean(F.col("spend"), F.col("total_orders")).alias("avg_order"),
+        iso_text(F.col("last_ts")).alias("last_purchase"),
+    )
+
+
+def purchase_summary(transactions: DataFrame) -> DataFrame:
+    """The summary that user profiles cache, over paid orders."""
+    return summary_of_sums(purchase_sums(transactions))
+
+
 def inactive_users(users: DataFrame, transactions: DataFrame) -> DataFrame:
     """Users without a paid order."""
     buyers = paid(transactions).select("user_id").distinct()

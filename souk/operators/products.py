@@ -84,3 +84,24 @@ def product_performance(page_views: DataFrame, cart: DataFrame, lines: DataFrame
         )
         .withColumn("conversion_rate", ratio(F.col("units_sold"), F.col("view_count")))
     )
+
+
+def product_user_sketches(page_views: DataFrame) -> DataFrame:
+    """Per product and day a sketch of the users who viewed it; sketches of days add up to those of longer times.
+
+    4,096 registers: about 1.6 % standard error, and at most a few kB a row however many users.
+    """
+    return (
+        page_views.where((F.col("page_type") == "product_detail") & F.col("product_id").isNotNull())
+        .groupBy("product_id", day_text(F.col("ts")).alias("day"))
+        .agg(F.hll_sketch_agg("user_id", F.lit(12)).alias("users"))
+    )
+
+
+def users_of_sketches(sketches: DataFrame, unit: str) -> DataFrame:
+    """Estimated distinct users per product and week, month or year, named by its first day."""
+    first = F.date_format(F.date_trunc(unit, F.to_timestamp("day")), "yyyy-MM-dd")
+    return (
+        sketches.groupBy("product_id", first.alias("since"))
+        .agg(F.hll_sketch_estimate(F.hll_union_agg("users")).alias("user_count"))
+    )

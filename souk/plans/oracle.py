@@ -535,6 +535,11 @@ def _needed(sql: str, found: list[str]) -> None:
                 found.append(name)
 
 
+# batches change how a report is made, not its rows
+for _name in ("product_performance", "purchase_summary"):
+    REPORTS[f"{_name}_by_batches"] = REPORTS[_name]
+
+
 def oracle_sql() -> dict[str, str]:
     full = {}
     for report, sql in REPORTS.items():
