@@ -14,8 +14,11 @@ from pyspark.sql.types import StructType
 from souk.functions.columns import ISO, session_key
 from souk.functions.sessionize import session_slices, tag_events
 from souk.schemas import BROWSERS, DEVICE_TYPES, PAYMENT_METHODS, REFERRERS
+from souk.session import dealt, tasks_for
 
 SESSION_GAP_SECONDS = 6 * 3600
+#: Lines that a task joins with their orders, and sums by them.
+LINES_OF_TASK = 500_000
 OPERATING_SYSTEMS = ("iOS", "Android", "Windows", "Linux")
 # The event that stands for a page type.
 EVENT_OF_PAGE = {
@@ -193,9 +196,12 @@ class Warehouse:
         # Cents per unit, rounded half up in whole numbers.
         cents, units = "bigint(rint(l_extendedprice * 100))", "bigint(l_quantity)"
         unit_cents = f"(2 * {cents} + {units}) div nullif(2 * {units}, 0)"
+        # counted in the footers of the files
+        tasks = tasks_for(self.spark, self.table("lineitem").count(), LINES_OF_TASK)
+        orders = dealt(self.table("orders"), tasks, "o_orderkey")
         return (
-            self.table("lineitem")
-            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            dealt(self.table("lineitem"), tasks, "l_orderkey")
+            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .selectExpr(
                 "o_orderkey",
                 *ORDER_COLUMNS,
