@@ -18,13 +18,19 @@ All three are exact: the result equals counting every pair of every basket. For
 need every pair of the ordinary baskets, items are numbered in the order of their ids, so that pairs are two numbers until the best are known.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from souk.session import materialize
+from souk.session import dealt, materialize, tasks_for
 
 COMMON_ITEMS = 32
 WORD = 64
+#: Pairs that a task makes or counts.
+PAIRS_OF_TASK = 1_000_000
+#: Parts of the baskets of a task.
+PARTS = 16
 
 
 def purchase_baskets(lines: DataFrame) -> DataFrame:
@@ -64,27 +70,33 @@ def _support_bound(baskets: DataFrame, support: DataFrame, n: int) -> int:
     return counts.agg(F.when(F.count("*") == n, F.min("n")).otherwise(1)).first()[0]
 
 
-def _width(df: DataFrame) -> int:
-    """The session's shuffle width, kept as it is: few bytes of baskets become many pairs."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _width(df: DataFrame, tasks: int | None) -> int:
+    """At least the session's shuffle width, kept as it is: few bytes of baskets become many pairs."""
+    return max(tasks or 1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
 
+def _placed(rows: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
+    """The rows by their keys to tasks, with the ``part`` of a task that they are in: several, so that tasks get about as many rows each."""
+    width = _width(rows, tasks)
+    return rows.withColumn("part", F.pmod(F.xxhash64(*keys), F.lit(width * PARTS))).repartition(width, "part")
 
-def _small_basket_pairs(light: DataFrame) -> DataFrame:
-    """All pairs of ``entry`` of baskets that fit a block, as ``x, y``; entries are ordered by their first field."""
+
+def _small_basket_pairs(light: DataFrame, tasks: int | None = None) -> DataFrame:
+    """All pairs of ``entry`` of baskets that fit a block, as ``part, x, y``; entries are ordered by their first field."""
     return (
-        light.repartition(_width(light), "basket")
-        .groupBy("basket")
+        _placed(light, tasks, "basket")
+        .groupBy("part", "basket")
         .agg(F.array_sort(F.collect_list("entry")).alias("entries"))
-        .select("entries", F.posexplode("entries").alias("pos", "x"))
-        .select("x", F.explode(_within("entries")).alias("y"))
+        .select("part", "entries", F.posexplode("entries").alias("pos", "x"))
+        .select("part", "x", F.explode(_within("entries")).alias("y"))
     )
 
 
-def _block_pairs(light: DataFrame, large: DataFrame) -> DataFrame:
+def _block_pairs(light: DataFrame, large: DataFrame, tasks: int | None = None) -> DataFrame:
     """The same for larger baskets, block against block; ``large`` has the number of blocks."""
+    cells = light.join(large, "basket")
     cells = (
-        light.join(large, "basket")
-        .withColumn("block", F.pmod(F.xxhash64("entry"), F.col("blocks")))
+        cells.withColumn("block", F.pmod(F.xxhash64("entry"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
         .select(
             "basket",
@@ -93,9 +105,11 @@ def _block_pairs(light: DataFrame, large: DataFrame) -> DataFrame:
             "block",
             "entry",
         )
-        # By all three, so that the blocks of one basket spread over tasks.
-        .repartition(_width(light), "basket", "lo", "hi")
-        .groupBy("basket", "lo", "hi")
+    )
+    # By all three, so that the blocks of one basket spread over tasks.
+    cells = (
+        _placed(cells, tasks, "basket", "lo", "hi")
+        .groupBy("part", "basket", "lo", "hi")
         .agg(
             F.array_sort(F.collect_list(F.when(F.col("block") == F.col("lo"), F.col("entry")))).alias("left"),
             F.collect_list(F.when((F.col("block") == F.col("hi")) & (F.col("lo") != F.col("hi")), F.col("entry"))).alias(
@@ -104,17 +118,33 @@ def _block_pairs(light: DataFrame, large: DataFrame) -> DataFrame:
         )
     )
     partners = F.when(F.col("lo") == F.col("hi"), _within("left")).otherwise(F.col("right"))
-    return cells.select("lo", "hi", "left", "right", F.posexplode("left").alias("pos", "x")).select(
-        "x", F.explode(partners).alias("y")
+    return cells.select("part", "lo", "hi", "left", "right", F.posexplode("left").alias("pos", "x")).select(
+        "part", "x", F.explode(partners).alias("y")
     )
 
 
-def _basket_pairs(light: DataFrame, sizes: DataFrame, block: int, largest: int) -> DataFrame:
-    """Pairs of all baskets of ``light``; ``largest`` is the size of the largest."""
+def _pair_branches(light: DataFrame, sizes: DataFrame, block: int, largest: int, tasks: int | None = None) -> list[DataFrame]:
+    """Pairs of all baskets of ``light`` as ``part, x, y``, by themselves for small and large baskets; ``largest`` is the size of the largest."""
     if largest <= block:
-        return _small_basket_pairs(light)
+        return [_small_basket_pairs(light, tasks)]
     large = sizes.where(F.col("size") > block).select("basket", F.ceil(F.col("size") / block).alias("blocks"))
-    return _small_basket_pairs(light.join(large, "basket", "left_anti")).unionByName(_block_pairs(light, large))
+    return [_small_basket_pairs(light.join(large, "basket", "left_anti"), tasks), _block_pairs(light, large, tasks)]
+
+
+def _basket_pairs(light: DataFrame, sizes: DataFrame, block: int, largest: int) -> DataFrame:
+    """Pairs of all baskets of ``light`` as ``x, y``."""
+    return reduce(DataFrame.unionByName, _pair_branches(light, sizes, block, largest)).select("x", "y")
+
+
+def _counted(branches: list[DataFrame], tasks: int | None) -> DataFrame:
+    """``a, b, n`` of pairs of items. Many pairs are first counted in the tasks that make them, so that a frequent one
+    moves at most once for each part, and then by the pair in tasks that their number sets."""
+    x, y = F.col("x.item"), F.col("y.item")
+    a, b = F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
+    if not tasks:
+        return reduce(DataFrame.unionByName, branches).groupBy(a, b).agg(F.count("*").alias("n"))
+    made = [pairs.groupBy("part", a, b).agg(F.count("*").alias("n")).select("a", "b", "n") for pairs in branches]
+    return dealt(reduce(DataFrame.unionByName, made), tasks, "a", "b").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
 def _giant_words(inside: DataFrame) -> DataFrame:
@@ -237,14 +267,17 @@ def _sizes(baskets: DataFrame) -> DataFrame:
     return baskets.groupBy("basket").agg(F.count("*").alias("size"))
 
 
-def _pair_counts(baskets: DataFrame, sizes: DataFrame, keep: int, per_item: bool, giant_size: int, block: int) -> DataFrame:
-    """``a, b, baskets`` for every pair that can be among the ``keep`` best.
+def _pair_counts(
+    baskets: DataFrame, sizes: DataFrame, keep: int, per_item: bool, giant_size: int, block: int
+) -> tuple[DataFrame, int | None]:
+    """``a, b, baskets`` for every pair that can be among the ``keep`` best, and the tasks that the number of pairs asks for.
 
     ``per_item`` asks for the best partners of each item instead of the best pairs overall.
     The number of giants and the bound are fetched first, so the usual plan has no branch for giants or blocks.
     """
     giant = F.col("size") > giant_size
-    giants, largest = sizes.agg(F.count_if(giant), F.max(F.when(~giant, F.col("size")))).first()
+    pairs_of = F.when(~giant, F.expr("size * (size - 1) div 2"))
+    giants, largest, made = sizes.agg(F.count_if(giant), F.max(F.when(~giant, F.col("size"))), F.sum(pairs_of)).first()
     bound = None
     kept = baskets
     if not per_item:
@@ -259,27 +292,23 @@ def _pair_counts(baskets: DataFrame, sizes: DataFrame, keep: int, per_item: bool
         inside = materialize(kept.join(numbers, "basket").select("item", "giant"), "giant-rows")
         light = kept.join(numbers, "basket", "left_anti")
 
-    x, y = F.col("x.item"), F.col("y.item")
+    tasks = tasks_for(baskets.sparkSession, made or 0, PAIRS_OF_TASK)
     entries = light.select("basket", F.struct("item").alias("entry"))
-    pairs = (
-        _basket_pairs(entries, sizes, block, largest or 0)
-        .groupBy(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-        .agg(F.count("*").alias("n"))
-    )
+    pairs = _counted(_pair_branches(entries, sizes, block, largest or 0, tasks), tasks)
     if not giants:
-        return pairs.withColumnRenamed("n", "baskets")
+        return pairs.withColumnRenamed("n", "baskets"), tasks
     words = materialize(_giant_words(inside), "giant-words")
     candidates = _giant_candidates(inside, words, keep, bound, block).withColumn("n", F.lit(0).cast("bigint"))
     once = pairs.unionByName(candidates).groupBy("a", "b").agg(F.max("n").alias("n"))
     counted = _shared(once, words, "a", "b", F.first("n").alias("n"))
-    return counted.select("a", "b", (F.col("n") + F.col("shared")).alias("baskets"))
+    return counted.select("a", "b", (F.col("n") + F.col("shared")).alias("baskets")), tasks
 
 
 def top_pairs(baskets: DataFrame, n: int = 10, giant_size: int = 2_000, block: int = 500) -> DataFrame:
     """The ``n`` pairs found in most baskets; ties go by id."""
     baskets = materialize(baskets, "baskets")
     return (
-        _pair_counts(baskets, _sizes(baskets), n, False, giant_size, block)
+        _pair_counts(baskets, _sizes(baskets), n, False, giant_size, block)[0]
         .orderBy(F.desc("baskets"), "a", "b")
         .limit(n)
         .select(F.col("a").alias("product_a"), F.col("b").alias("product_b"), F.col("baskets").alias("pair_count"))
@@ -290,12 +319,13 @@ def best_partners(baskets: DataFrame, n: int = 3, giant_size: int = 2_000, block
     """For every item the ``n`` items it shares most baskets with; ties go by id."""
     baskets = materialize(baskets, "baskets")
     numbered, names = _numbered(baskets)
-    pairs = _pair_counts(numbered, _sizes(baskets), n, True, giant_size, block)
+    pairs, tasks = _pair_counts(numbered, _sizes(baskets), n, True, giant_size, block)
     sides = F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y"))))
     position = F.row_number().over(Window.partitionBy("x").orderBy(F.desc("baskets"), "y"))
+    both = pairs.select(sides.alias("side"), "baskets").select("side.*", "baskets")
     return (
-        pairs.select(sides.alias("side"), "baskets")
-        .select("side.*", "baskets")
+        # each pair has two sides; an item has a row for each of its partners at most
+        dealt(both, tasks and 2 * tasks, "x")
         .withColumn("position", position.cast("bigint"))
         .where(F.col("position") <= n)
         .join(names.select(F.col("number").alias("x"), F.col("item").alias("product_id")), "x")

@@ -4,7 +4,7 @@ from datetime import datetime
 
 import pytest
 
-from souk.operators import revenue
+from souk.operators import baskets, revenue
 from souk.sources import warehouse
 
 
@@ -37,3 +37,19 @@ def test_tasks_of_order_lines_grow_with_them(monkeypatch, shop_of, rows):
     after = [reports(small), reports(large)]
     assert [x[1:] for x in before] == [x[1:] for x in after] and before[0][1]
     assert [x[0].rdd.getNumPartitions() for x in after] == [40, 80]
+
+
+@pytest.mark.parametrize("block", [500, 4])
+def test_tasks_of_pairs_grow_with_them(spark, monkeypatch, rows, block):
+    def bought(users):
+        drawn = spark.range(users * 12).selectExpr("concat('u', id div 12) AS basket", "concat('p', pmod(xxhash64(id), 40)) AS item")
+        return drawn.distinct()
+
+    def tasks(df):
+        return baskets._pair_counts(baskets._numbered(df)[0], baskets._sizes(df), 3, True, 2_000, block)[0].rdd.getNumPartitions()
+
+    sets = [bought(40), bought(80)]
+    plain = [(rows(baskets.best_partners(s, block=block)), rows(baskets.top_pairs(s, block=block))) for s in sets]
+    monkeypatch.setattr(baskets, "PAIRS_OF_TASK", 20)
+    assert plain == [(rows(baskets.best_partners(s, block=block)), rows(baskets.top_pairs(s, block=block))) for s in sets]
+    assert 1.6 < tasks(sets[1]) / tasks(sets[0]) < 2.5
