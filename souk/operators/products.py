@@ -51,7 +51,7 @@ def product_performance(page_views: DataFrame, cart: DataFrame, lines: DataFrame
     """
     views = (
         page_views.where((F.col("page_type") == "product_detail") & F.col("product_id").isNotNull())
-        .groupBy("product_id", day_text(F.col("ts")).alias("day"))
+        .groupBy("product_id", F.to_date("ts").alias("day"))
         .agg(
             F.count("*").alias("view_count"),
             F.count_distinct("user_id").alias("unique_users"),
@@ -61,10 +61,10 @@ def product_performance(page_views: DataFrame, cart: DataFrame, lines: DataFrame
     )
     sales = (
         paid(lines)
-        .groupBy("product_id", day_text(F.col("ts")).alias("day"))
+        .groupBy("product_id", F.to_date("ts").alias("day"))
         .agg(F.sum("quantity").alias("units_sold"), F.sum("subtotal").alias("revenue"))
     )
-    carts = cart.groupBy("product_id", day_text(F.col("started_at")).alias("day")).agg(
+    carts = cart.groupBy("product_id", F.to_date("started_at").alias("day")).agg(
         F.sum("quantity").alias("cart_adds")
     )
     key = ["product_id", "day"]
@@ -72,6 +72,7 @@ def product_performance(page_views: DataFrame, cart: DataFrame, lines: DataFrame
     return (
         views.join(sales, key, "full")
         .join(carts, key, "full")
+        .withColumn("day", day_text(F.col("day")))  # days meet as numbers
         .select(
             product_day_key(F.col("product_id"), F.col("day")).alias("row_key"),
             *key,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from souk.functions.columns import iso_text, paid
 from souk.operators import baskets, customers, flatten, keyed, products, quality, revenue, sessions
 from souk.plans.incremental import TIME, StoredFigures
-from souk.session import fresh_dir
+from souk.session import fresh_dir, materialize
 from souk.sources.warehouse import PAYMENT_METHOD, SESSION_GAP_SECONDS, Warehouse, key
 from souk.streaming import jobs
 
@@ -460,21 +460,28 @@ def product_performance(shop):
     return products.product_performance(shop.pages("product_detail"), shop.cart_days, shop.lines)
 
 
+#: The columns of order lines that daily figures are made from.
+LINE_COLUMNS = ("product_id", "ts", "status", "quantity", "subtotal")
+
+
 def in_two_batches(shop, **inputs: DataFrame) -> StoredFigures:
-    """Figures by month over the whole inputs: first what is dated up to the 20th of a month, but for a tenth that comes late, then the rest."""
+    """Figures by month over the whole inputs: first what is dated up to the 20th of a month, but for a tenth that comes late, then the rest.
+
+    An input is computed once and written with the batch of each row; both batches read it there.
+    """
     store = StoredFigures(shop.spark, fresh_dir(shop.spark, "figures"), {name: df.schema for name, df in inputs.items()}, "month")
+    flagged = {}
+    for name, df in inputs.items():
+        on_time = (F.dayofmonth(TIME[name]) <= 20) & (F.pmod(F.xxhash64(*sorted(df.columns)), F.lit(10)) > 0)
+        flagged[name] = materialize(df.select("*", F.coalesce(on_time, F.lit(False)).alias("_on_time")), f"batches-{name}")
     for batch, first in enumerate((True, False)):
-        parts = {}
-        for name, df in inputs.items():
-            on_time = (F.dayofmonth(TIME[name]) <= 20) & (F.pmod(F.xxhash64(*sorted(df.columns)), F.lit(10)) > 0)
-            parts[name] = df.where(F.coalesce(on_time, F.lit(False)) == first)
-        store.add(batch, **parts)
+        store.add(batch, **{name: df.where(F.col("_on_time") == first).drop("_on_time") for name, df in flagged.items()})
     return store
 
 
 @report
 def product_performance_by_batches(shop):
-    inputs = {"page_views": shop.pages("product_detail"), "cart": shop.cart_days, "lines": shop.lines}
+    inputs = {"page_views": shop.pages("product_detail"), "cart": shop.cart_days, "lines": shop.lines.select(*LINE_COLUMNS)}
     return in_two_batches(shop, **inputs).product_performance()
 
 

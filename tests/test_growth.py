@@ -4,7 +4,8 @@ from datetime import datetime
 
 import pytest
 
-from souk.operators import baskets, revenue
+from souk.operators import baskets, products, revenue
+from souk.plans import queries
 from souk.sources import warehouse
 
 
@@ -53,3 +54,24 @@ def test_tasks_of_pairs_grow_with_them(spark, monkeypatch, rows, block):
     monkeypatch.setattr(baskets, "PAIRS_OF_TASK", 20)
     assert plain == [(rows(baskets.best_partners(s, block=block)), rows(baskets.top_pairs(s, block=block))) for s in sets]
     assert 1.6 < tasks(sets[1]) / tasks(sets[0]) < 2.5
+
+
+def test_batches_read_inputs_that_were_computed_once(monkeypatch, shop_of, rows):
+    shop = shop_of(50)
+    lines = shop.lines.select(*queries.LINE_COLUMNS)
+    added = []
+
+    class Recorder(queries.StoredFigures):
+        def add(self, batch_id, **inputs):
+            added.append(inputs["lines"])
+            return super().add(batch_id, **inputs)
+
+    monkeypatch.setattr(queries, "StoredFigures", Recorder)
+    none = [shop.spark.createDataFrame([], s) for s in (
+        "user_id string, ts timestamp, page_type string, product_id string, view_duration bigint",
+        "product_id string, started_at timestamp, quantity bigint",
+    )]
+    got = queries.in_two_batches(shop, page_views=none[0], cart=none[1], lines=lines).product_performance()
+    assert all("batches-lines" in path for df in added for path in df.inputFiles()) and len(added) == 2
+    assert sorted(rows(added[0]) + rows(added[1]), key=str) == rows(lines)
+    assert rows(got) == rows(products.product_performance(*none, lines).select(*got.columns))
