@@ -1,11 +1,14 @@
-"""Near-duplicates by the Jaccard similarity of word shingles: MinHash bands find candidates, whole sets verify them.
+"""Near-duplicates by SimHash fingerprints and the Jaccard similarity of word shingles: classes of fingerprints and MinHash bands
+find candidates, whole sets verify them.
 
-Two texts are near-duplicates if the sets of their five-word shingles have a similarity of 0.8 or more. Each distinct set gets
+Two texts are near-duplicates if the sets of their five-word shingles have a similarity of 0.8 or more. The fingerprints of all texts,
+of the same shingles, go through the index of :mod:`souk.llm.simhash`; the members of a class, reachable over three bits or fewer, are
+candidates. Texts at a similarity of 0.8 mostly differ in more bits, so these are not all: each distinct set gets
 twenty band keys of four minima; a pair at similarity 0.8 shares a band with a probability of 1 - (1 - 0.8^4)^20 = 0.99997,
-a closer one with a higher one. Bands with the same members are compared once. Only sets that share a band are
+a closer one with a higher one. Bands with the same members are compared once. Only sets that share a band or a class are
 built, and every link is verified by the exact similarity.
 
-Long bands are cut into blocks whose pairs of blocks are separate groups, and a group hands on a
+Long lists are cut into blocks whose pairs of blocks are separate groups, and a group hands on a
 spanning forest of its verified links.
 """
 
@@ -18,6 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from souk.llm import simhash
 from souk.llm.arrays import LOWER, mixed, span_hashes, text_slices, words
 from souk.llm.components import components
 from souk.session import materialize
@@ -135,10 +139,13 @@ def forest(members: list[np.ndarray], left: int) -> list[tuple[int, int]]:
     return out
 
 
-def links(firsts: DataFrame, texts: DataFrame, block: int = BLOCK) -> DataFrame:
+def links(firsts: DataFrame, texts: DataFrame, block: int = BLOCK, classes: DataFrame | None = None) -> DataFrame:
     """``(a, b)`` keys of similar sets; all others are reachable over these. ``firsts`` has ``(key, row, bands)`` of each
-    distinct set and ``texts`` the ``(row, text)``."""
+    distinct set and ``texts`` the ``(row, text)``. ``classes`` has ``(key, class)`` of fingerprints, whose members are compared like those of a band."""
     bands = firsts.select("key", F.explode("bands").alias("band"))
+    if classes is not None:
+        # lists that fell together by their number would be compared as one, which loses nothing
+        bands = bands.unionByName(classes.select("key", F.xxhash64(F.lit("class"), "class").alias("band")).distinct())
     lists = bands.groupBy("band").agg(
         F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"), F.bit_xor(F.xxhash64("key")).alias("all")
     )
@@ -183,6 +190,7 @@ def numbered(docs: DataFrame) -> tuple[str, DataFrame]:
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group of near-duplicates with all its columns: that of the smallest id.
 
+    The texts go through the fingerprints of :func:`souk.llm.simhash.near_duplicates` first, and its classes and the bands are compared.
     A group are the texts reachable over similarities of 0.8 or more; texts with equal sets, among them nulls and blanks, are
     one group. A null id comes after all others, so that a row without an id stays if no row with one is in its
     group. Of rows with the same id in a group, repeated ones too, one stays. An empty table gives no rows.
@@ -190,9 +198,13 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     row, rows = numbered(docs)
     found = sketches(rows.select(F.col(row).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text")))
     best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("best")
-    firsts = materialize(materialize(found, "sketches").groupBy("key").agg(best, F.first("bands").alias("bands")), "distinct-sets")
+    found = materialize(found, "sketches")
+    classes = simhash.near_duplicates(rows.select(row, text_col), row, text_col, SIZE)
+    classes = found.select("row", "key").join(classes.select(F.col("doc_id").alias("row"), F.col("component_id").alias("class")), "row")
+    classes = classes.select("key", "class").where("key <> 0")  # texts without a word are one set
+    firsts = materialize(found.groupBy("key").agg(best, F.first("bands").alias("bands")), "distinct-sets")
     texts = rows.select(F.col(row).alias("row"), F.col(text_col).alias("text"))
-    joined = components(links(firsts.select("key", "best.row", "bands"), texts))
+    joined = components(links(firsts.select("key", "best.row", "bands"), texts, classes=classes))
     member = firsts.join(joined, firsts["key"] == joined["node"], "left")
     kept = member.groupBy(F.coalesce("component", "key").alias("root")).agg(F.min("best").alias("best"))
     return rows.join(kept.select(F.col("best.row").alias(row)), row, "left_semi").select(*docs.columns)
